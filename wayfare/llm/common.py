@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfare.sources.scratch import Scratch, scratch_root  # noqa: F401
+
 #: Fixed value of the word contracts: a word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -58,51 +57,3 @@ def let(value: Column, body) -> Column:
     value evaluated once per row.
     """
     return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """A folder that the driver and all executors share.
-
-    It is ``spark.checkpoint.dir`` of the session; only where that is unset
-    (a local session, as in tests) a temporary folder of this machine serves.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if set_dir.isDefined():
-            root = set_dir.get()
-        else:
-            if not spark.sparkContext.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            root = tempfile.mkdtemp(prefix="wayfare-")
-            spark.sparkContext.setCheckpointDir(root)
-            root = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return root.rstrip("/")
-
-
-class Scratch:
-    """Intermediate tables of one operator run, in the shared folder.
-
-    Written Parquet cuts lineage, survives lost executors and is evaluated
-    once however often it is read.  ``drop`` removes a table that nothing
-    reads any more.
-    """
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.root = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
-        return self.get(name, df.schema)
-
-    def get(self, name: str, schema=None) -> DataFrame:
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(self.path(name))
-
-    def drop(self, name: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, urls
+from . import minhash, mixing, packing, quality, urls
 from .common import read_table
 
 
@@ -25,6 +25,11 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = minhash.near_duplicates(read_table(spark, sf_dir, "documents"), k=2)
+    return groups.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -35,6 +40,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
     "op8_url_filter": op8_url_filter,
+    "op9_minhash": op9_minhash,
     "op10_quality_rules": op10_quality_rules,
 }
 
@@ -109,4 +115,41 @@ FROM g
 """
 
 
-ORACLES: dict[str, str] = {"op1_mixing": _MIX, "op10_quality_rules": _quality_sql()}
+_MINHASH = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS g FROM d
+), n AS (
+  SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, md5(array_to_string(list_sort(g), chr(10))) AS h FROM s
+), c AS (
+  SELECT h, min(doc_id) AS rep, min(n_shingles) AS n FROM n WHERE n_shingles > 0 GROUP BY h
+), x AS (
+  SELECT c.rep, c.n, unnest(s.g) AS e FROM c JOIN s ON s.doc_id = c.rep
+), rare AS (
+  SELECT e, count(*) AS df FROM x GROUP BY e
+), ranked AS (
+  SELECT x.rep, x.n, x.e, row_number() OVER (PARTITION BY x.rep ORDER BY r.df, x.e) AS k FROM x JOIN rare r ON r.e = x.e
+), prefix AS (
+  SELECT rep, n, e FROM ranked WHERE k <= n - ceil(0.8 * n) + 1
+), cand AS (
+  SELECT DISTINCT a.rep AS a, b.rep AS b, a.n AS na, b.n AS nb FROM prefix a JOIN prefix b ON a.e = b.e AND a.rep < b.rep
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+), both_sides AS (
+  SELECT a, b, any_value(na) AS na, any_value(nb) AS nb, count(*) AS k FROM cand JOIN x p ON p.rep = a JOIN x q ON q.rep = b AND q.e = p.e GROUP BY a, b
+), links AS (
+  SELECT a, b FROM both_sides WHERE 100 * k >= 80 * (na + nb - k)
+), sym AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), walk AS (
+  SELECT rep AS a, rep AS b FROM c UNION SELECT w.a, s.b FROM walk w JOIN sym s ON s.a = w.b
+), comp AS (
+  SELECT a AS rep, min(b) AS component FROM walk GROUP BY a
+)
+SELECT n.doc_id, n.n_shingles, coalesce(comp.component, n.doc_id) AS component_id, n.doc_id = coalesce(comp.component, n.doc_id) AS kept
+FROM n LEFT JOIN c ON c.h = n.h AND n.n_shingles > 0 LEFT JOIN comp ON comp.rep = c.rep
+"""
+
+
+ORACLES: dict[str, str] = {"op1_mixing": _MIX, "op9_minhash": _MINHASH, "op10_quality_rules": _quality_sql()}
