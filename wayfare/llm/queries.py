@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, minhash, mixing, packing, quality, toxicity, urls
+from . import html_text, metric_tree, minhash, mixing, packing, quality, toxicity, urls
 from .common import crc_mod, read_table
 
 
@@ -20,6 +20,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_tree.search(read_table(spark, sf_dir, "embeddings"), lambda vec_id: F.pmod(vec_id, F.lit(50)) == 0)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(crc_mod("doc_id", 5) != 0))
@@ -51,6 +55,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
+    "op3_topk": op3_topk,
     "op4_toxicity": op4_toxicity,
     "op5_html": op5_html,
     "op8_url_filter": op8_url_filter,
@@ -166,4 +171,18 @@ FROM n LEFT JOIN c ON c.h = n.h AND n.n_shingles > 0 LEFT JOIN comp ON comp.rep
 """
 
 
-ORACLES: dict[str, str] = {"op1_mixing": _MIX, "op9_minhash": _MINHASH, "op10_quality_rules": _quality_sql()}
+_TOPK = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+ORACLES: dict[str, str] = {"op1_mixing": _MIX, "op3_topk": _TOPK, "op9_minhash": _MINHASH, "op10_quality_rules": _quality_sql()}
