@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, metric_tree, minhash, mixing, packing, quality, toxicity, urls
+from . import context_tree, html_text, metric_tree, minhash, mixing, packing, quality, toxicity, urls
 from .common import crc_mod, read_table
 
 
@@ -36,6 +36,10 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op7_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(read_table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_topk": op3_topk,
     "op4_toxicity": op4_toxicity,
     "op5_html": op5_html,
+    "op7_context_tree": op7_context_tree,
     "op8_url_filter": op8_url_filter,
     "op9_minhash": op9_minhash,
     "op10_quality_rules": op10_quality_rules,
