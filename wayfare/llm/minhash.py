@@ -15,8 +15,8 @@ probability (1 - 0.8**6)**48 < 5e-7, less for all higher similarities.
 Links are confirmed on the full sets.  No bucket is expanded into all its
 pairs: members are tested against a pivot; buckets whose members are in one
 component by then need nothing more; in the rest, further pivots follow and at
-last all pairs of members of different components whose set sizes allow a
-link, so that no candidate link is lost.  Equal sets are one class
+last an exact prefix filter finds all pairs of members of different components
+that can still be linked, so that no candidate link is lost.  Equal sets are one class
 and only their smallest id takes part; links and components stay distributed.
 
 Edge cases: null or empty texts and texts without words have an empty set and
@@ -35,6 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wayfare.operators.components import connected_components
 
@@ -233,17 +234,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups.sets = groups.sets.unionByName(scratch.put(_sets(_chosen(docs, more), k), "sets1"))
     for salt in range(pivots):
         groups.test(_pivot_pairs(_still_mixed(groups.of(members)), salt))
-    rest = scratch.put(_still_mixed(groups.of(members)), "rest")
-    left = rest.select("key", F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"))
-    right = rest.select("key", F.col("rep").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"))
-    fits = (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & (F.lit(100) * F.least("nx", "ny") >= F.lit(percent) * F.greatest("nx", "ny"))
-    groups.test(_ordered(left.join(right, "key").where(fits), "x", "y"))
+    rest = _still_mixed(groups.of(members)).select("rep", "n", "component").distinct()
+    groups.test(_prefix_pairs(scratch.put(rest, "rest"), groups.sets, percent, scratch))
 
     found = groups.of(classes.where("rep is not null")).select("set_id", "component")
     out = seen.select("doc_id", "n_shingles", "set_id").join(found, "set_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """All pairs of ``rest`` (rep, n, component) in different components that can still be linked.
+
+    Exact prefix and position filters: with the elements of every set ordered
+    from rare to frequent, sets that are similar enough have their first common
+    element at places i and j that leave enough for the needed overlap,
+    1 + min(n - i, m - j) >= percent * (n + m) / (100 + percent).  Copies of a
+    page with many own words have these first and match nothing.  Of an
+    element's rows those in its most frequent component need not meet each
+    other, so only the others are joined with all.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                items = np.frombuffer(batch.column(2)[i].as_buffer(), np.int64)
+                rep, n = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(items), rep)), pa.array(np.full(len(items), n)), pa.array(items)], names=["rep", "n", "e"])
+
+    elements = scratch.put(rest.select("rep", "n").join(sets, "rep").select("rep", "n", "items").mapInArrow(run, "rep long, n long, e long"), "elements")
+    frequency = elements.groupBy("e").agg(F.count(F.lit(1)).alias("df"))
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("df", "e")).cast("long")
+    ranked = elements.join(frequency, "e").withColumn("at", place)
+    prefix = ranked.where((F.col("df") > 1) & (F.lit(100) * (F.col("n") - F.col("at") + 1) >= F.lit(percent) * F.col("n")))
+    prefix = scratch.put(prefix.join(rest.select("rep", "component"), "rep").select("e", "rep", "n", "at", "component"), "prefix")
+    shares = prefix.groupBy("e", "component").agg(F.count(F.lit(1)).alias("k"))
+    tops = shares.groupBy("e").agg(F.max(F.struct("k", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    mixed = prefix.join(tops.select("e", F.col("top.component").alias("top")), "e")
+    minor = mixed.where("component <> top").select("e", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("at").alias("i"), F.col("component").alias("cx"))
+    every = mixed.select("e", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("at").alias("j"), F.col("component").alias("cy"))
+    enough = F.lit(100 + percent) * (1 + F.least(F.col("nx") - F.col("i"), F.col("ny") - F.col("j"))) >= F.lit(percent) * (F.col("nx") + F.col("ny"))
+    sizes = F.lit(100) * F.least("nx", "ny") >= F.lit(percent) * F.greatest("nx", "ny")
+    return _ordered(minor.join(every, "e").where((F.col("cx") != F.col("cy")) & sizes & enough), "x", "y")
+
+
 def _still_mixed(members: DataFrame) -> DataFrame:
     return members.join(_mixed(members), "key")
 
