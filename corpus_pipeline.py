@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfare.llm import minhash, mixing, packing, quality
+from wayfare.llm import minhash, mixing, packing, quality, suffix_dedup
 from wayfare.llm.common import Scratch
 
 
@@ -16,6 +16,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return minhash.keep_one(docs)
 
 
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
@@ -27,6 +31,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", quality_rules),
     ("near duplicates", near_duplicates),
+    ("repeated passages", repeated_passages),
     ("source mix", source_mix),
     ("packing", sequences),
 ]

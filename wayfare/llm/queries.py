@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import context_tree, html_text, metric_tree, minhash, mixing, packing, quality, toxicity, urls
+from . import context_tree, html_text, metric_tree, minhash, mixing, packing, quality, suffix_dedup, toxicity, urls
 from .common import crc_mod, read_table
 
 
@@ -36,6 +36,12 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score(read_table(spark, sf_dir, "documents"))
 
@@ -62,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_topk": op3_topk,
     "op4_toxicity": op4_toxicity,
     "op5_html": op5_html,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_context_tree": op7_context_tree,
     "op8_url_filter": op8_url_filter,
     "op9_minhash": op9_minhash,
