@@ -4,6 +4,9 @@ A byte goes if a string of ``length`` bytes that covers it also starts in a
 document with a smaller id.  Every string of that length is judged, exactly,
 with a sorted array of sparse suffixes.
 
+Documents with equal texts are found first, by digest: all but the smallest go
+whole, and take no further part.  Then:
+
 1.  *Suffixes.*  Each string is assigned to its anchor: the place inside it
     whose ``gram`` bytes have the smallest hash.  Equal strings have equal
     anchors, so only suffixes that start at anchors (about one byte in
@@ -52,6 +55,8 @@ from .minhash import mix64
 NO_ID = np.int64(2**63 - 1)
 _ODD = np.uint64(0xD1342543DE82EF95)
 _BLOCK = 1 << 19
+#: Texts with copies up to which their digests (40 bytes each) are broadcast.
+BROADCAST_DIGESTS = 500_000
 
 
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * _ODD)
@@ -137,15 +142,29 @@ class _Distinct:
         return np.minimum(np.bincount(pairs, minlength=len(self.keys)), 65535).astype(np.uint16)
 
 
-def pack_header(ids: list, texts: list[bytes]) -> bytes:
-    return np.column_stack((np.array([NO_ID if i is None else i for i in ids], np.int64), np.array([i is not None for i in ids], np.int64), np.array([len(t) for t in texts], np.int64))).tobytes()
+def pack_header(ids: list, texts: list[bytes], whole: list[int]) -> bytes:
+    """Per document: id, whether there is one, bytes in the batch's body, bytes of the document if it goes whole (else -1)."""
+    return np.column_stack((np.array([NO_ID if i is None else i for i in ids], np.int64), np.array([i is not None for i in ids], np.int64), np.array([len(t) for t in texts], np.int64), np.array(whole, np.int64))).tobytes()
+
+
+def _pack_spans(spans: np.ndarray) -> bytes:
+    """(document, start, end) rows in order, as differences, compressed."""
+    spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
+    out = np.column_stack((np.diff(spans[:, 0], prepend=0), np.diff(spans[:, 1], prepend=0), spans[:, 2] - spans[:, 1]))
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(out.T).tobytes())
+
+
+def _unpack_spans(blob: bytes) -> np.ndarray:
+    doc, start, size = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.int64).reshape(3, -1)
+    start = np.cumsum(start)
+    return np.column_stack((np.cumsum(doc), start, start + size))
 
 
-def _unpack(header, body) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """ids (null as the largest), whether there is one, ends of texts, all bytes."""
-    head = np.frombuffer(header.as_buffer(), np.int64).reshape(-1, 3)
+def _unpack(header, body) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The header's rows, ends of texts, all bytes."""
+    head = np.frombuffer(header.as_buffer(), np.int64).reshape(-1, 4)
     data = np.frombuffer(zstandard.ZstdDecompressor().decompress(body.as_py()), np.uint8)
-    return head[:, 0], head[:, 1].astype(bool), np.cumsum(head[:, 2]), data
+    return head, np.cumsum(head[:, 2]), data
 
 
 ROWS = pa.schema([("kind", pa.int32()), ("batch", pa.int64()), ("range", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
@@ -164,27 +183,29 @@ def _batches(docs: DataFrame, length: int, gram: int, ranges: int, batch_bytes:
         number = TaskContext.get().partitionId() << 32
         packer = zstandard.ZstdCompressor(level=3)
 
-        def flush(ids: list, texts: list[bytes]) -> pa.RecordBatch:
+        def flush(ids: list, texts: list[bytes], whole: list[int]) -> pa.RecordBatch:
             body = b"".join(texts)
             anchors = Anchors(np.frombuffer(body, np.uint8), np.cumsum([len(t) for t in texts]), length, gram)
             keys = _Distinct(anchors, ranges)
             many, low = keys.documents(anchors.doc), keys.keys.astype(np.uint32)
             rows = [(0, number, r, low[x:y].tobytes(), many[x:y].tobytes()) for r, (x, y) in enumerate(zip(keys.cuts[:-1], keys.cuts[1:], strict=True)) if x < y]
-            rows.append((1, number, -1, pack_header(ids, texts), packer.compress(body)))
+            rows.append((1, number, -1, pack_header(ids, texts, whole), packer.compress(body)))
             return _record(rows)
 
-        ids, texts, held = [], [], 0
+        ids, texts, whole, held = [], [], [], 0
         for batch in incoming:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc, text, copy in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
+                gone = copy and len(raw) >= length
                 ids.append(doc)
-                texts.append(raw)
-                held += len(raw)
+                texts.append(b"" if gone else raw)
+                whole.append(len(raw) if gone else -1)
+                held += len(texts[-1]) + 64
                 if held >= batch_bytes:
-                    yield flush(ids, texts)
-                    ids, texts, held, number = [], [], 0, number + 1
+                    yield flush(ids, texts, whole)
+                    ids, texts, whole, held, number = [], [], [], 0, number + 1
         if ids:
-            yield flush(ids, texts)
+            yield flush(ids, texts, whole)
 
     return docs.mapInArrow(run, ROWS_DDL)
 
@@ -414,7 +435,8 @@ def _runs(length: int, gram: int, ranges: int, merge_ranges: int):
     def run(key: tuple, batch: pa.Table, replies: pa.Table) -> pa.Table:
         rows, number = [], key[0].as_py()
         for header, body in zip(batch["a"], batch["b"], strict=True):
-            ids, _, ends, data = _unpack(header, body)
+            head, ends, data = _unpack(header, body)
+            ids = head[:, 0]
             anchors = Anchors(data, ends, length, gram)
             keys = _Distinct(anchors, ranges)
             order, blobs, unpack = np.argsort(replies["range"].to_numpy()), replies["marks"].to_pylist(), zstandard.ZstdDecompressor()
@@ -454,7 +476,7 @@ def _runs(length: int, gram: int, ranges: int, merge_ranges: int):
                 e = e.take(np.flatnonzero(~later))
                 rows.append((2, number, slot, encode_run(e.take(e.order())), b""))
             if local:
-                rows.append((3, number, -1, np.concatenate(local).astype(np.int64).tobytes(), b""))
+                rows.append((3, number, -1, _pack_spans(np.concatenate(local).astype(np.int64)), b""))
         columns = list(zip(*rows, strict=True)) or [()] * len(ROWS)
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, ROWS, strict=True)], schema=ROWS)
 
@@ -485,7 +507,7 @@ def _merge(length: int, gram: int):
         spans = np.column_stack((e.doc[hit].astype(np.int64), e.place[hit] - most[hit], e.place[hit] - least[hit] + length))
         owner = np.array(of_run, dtype=np.int64)[hit]
         numbers = table["batch"].to_pylist()
-        rows = [(4, numbers[r], -1, spans[owner == r].tobytes(), b"") for r in np.unique(owner).tolist()]
+        rows = [(4, numbers[r], -1, _pack_spans(spans[owner == r]), b"") for r in np.unique(owner).tolist()]
         columns = list(zip(*rows, strict=True)) or [()] * len(ROWS)
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, ROWS, strict=True)], schema=ROWS)
 
@@ -499,12 +521,18 @@ def _finish(key: tuple, batch: pa.Table, found: pa.Table) -> pa.Table:
     """Removed spans (maximal) and remaining bytes of a batch's documents."""
     out: list[list] = [[], [], [], []]
     for header, body in zip(batch["a"], batch["b"], strict=True):
-        ids, known, ends, data = _unpack(header, body)
+        head, ends, data = _unpack(header, body)
         starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
-        spans = np.concatenate([np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 3) for x in found["a"]] or [np.empty((0, 3), np.int64)])
+        spans = np.concatenate([_unpack_spans(x.as_py()) for x in found["a"]] or [np.empty((0, 3), np.int64)])
         spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
-        edges = np.searchsorted(spans[:, 0], np.arange(len(ids) + 1))
-        for d, (i, k, s, e) in enumerate(zip(ids.tolist(), known.tolist(), starts.tolist(), ends.tolist(), strict=True)):
+        edges = np.searchsorted(spans[:, 0], np.arange(len(head) + 1))
+        for d, ((i, k, _, whole), s, e) in enumerate(zip(head.tolist(), starts.tolist(), ends.tolist(), strict=True)):
+            if whole >= 0:
+                out[0].append(i if k else None)
+                out[1].append(whole)
+                out[2].append([{"start": 0, "end": whole}])
+                out[3].append(b"")
+                continue
             merged: list[list[int]] = []
             for _, a, b in spans[edges[d] : edges[d + 1]].tolist():
                 if merged and a <= merged[-1][1]:
@@ -523,12 +551,27 @@ def _finish(key: tuple, batch: pa.Table, found: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(out, RESULT, strict=True)], schema=RESULT)
 
 
+def _marked_copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, text, copy): whether a document with a smaller id has the same text.
+
+    The table of texts that occur more than once (digest and smallest id) is
+    broadcast while it is small; beyond, the join shuffles.
+    """
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    again = docs.select(digest.alias("digest"), "doc_id").groupBy("digest").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    again = scratch.put(again.where("n > 1 and least is not null").select(F.col("digest").alias("__digest"), "least"), "copies")
+    if again.count() <= BROADCAST_DIGESTS:
+        again = F.broadcast(again)
+    copy = F.col("least").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") > F.col("least")))
+    return docs.join(again, digest == F.col("__digest"), "left").select("doc_id", "text", copy.alias("copy"))
+
+
 def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 24, id_col: str = "doc_id", text_col: str = "text", hot_documents: int = 8192, docs_per_range: int = 4000, batch_bytes: int = 8 << 20, merge_entries: int = 200_000) -> DataFrame:
     """One row per document: doc_id, n_bytes, spans (removed, maximal, in bytes) and kept (remaining bytes)."""
     scratch = Scratch(docs.sparkSession, "suffix")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ranges = max(8, math.ceil(docs.count() / docs_per_range))
-    _batches(docs, length, gram, ranges, batch_bytes).write.partitionBy("kind").option("compression", "uncompressed").parquet(scratch.path("batches"))
+    _batches(_marked_copies(docs, scratch), length, gram, ranges, batch_bytes).write.partitionBy("kind").option("compression", "uncompressed").parquet(scratch.path("batches"))
     columns = "batch long, range int, a binary, b binary"
     reader = docs.sparkSession.read.schema(columns)
     spark = docs.sparkSession
@@ -549,6 +592,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 24, id_col: st
     runs.write.partitionBy("kind").option("compression", "uncompressed").parquet(scratch.path("runs"))
     merged = kind("runs", 2).groupBy("range").applyInArrow(_merge(length, gram), ROWS_DDL)
     merged = scratch.put(merged, "merged")
+    scratch.drop("runs/kind=2")
     found = kind("runs", 3).select("batch", "a").unionByName(merged.select("batch", "a"))
     return texts.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(_finish, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
