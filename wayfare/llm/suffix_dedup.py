@@ -453,8 +453,8 @@ def _runs(length: int, gram: int, ranges: int, merge_ranges: int):
                     count = last - first + 1
                     start = np.repeat(first, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
                     place, first, last, doc = start, start, start, np.repeat(doc, count)
-                for x in range(0, len(place), 100_000):
-                    part = slice(x, x + 100_000)
+                for x in range(0, len(place), 50_000):
+                    part = slice(x, x + 50_000)
                     if hot:
                         dealt_part = gram_hashes_at(data, place[part], length)
                     else:
@@ -566,7 +566,7 @@ def _marked_copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return docs.join(again, digest == F.col("__digest"), "left").select("doc_id", "text", copy.alias("copy"))
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 24, id_col: str = "doc_id", text_col: str = "text", hot_documents: int = 8192, docs_per_range: int = 4000, batch_bytes: int = 8 << 20, merge_entries: int = 200_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 24, id_col: str = "doc_id", text_col: str = "text", hot_documents: int = 8192, docs_per_range: int = 4000, batch_bytes: int = 4 << 20, merge_entries: int = 100_000) -> DataFrame:
     """One row per document: doc_id, n_bytes, spans (removed, maximal, in bytes) and kept (remaining bytes)."""
     scratch = Scratch(docs.sparkSession, "suffix")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
