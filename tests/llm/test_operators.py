@@ -255,52 +255,58 @@ def test_top_k_against_brute_force(spark):
     assert metric_tree.search(df.limit(0), lambda i: i == 1).count() == 0
 
 
-def test_context_tree_equals_sequential_weighting():
+@pytest.mark.parametrize("depth", [3, 4])
+def test_context_tree_equals_sequential_weighting(depth):
+    import copy
     import math
 
-    train = [b"abracadabra abracad", b"the cat sat on the mat", b""]
+    train = [b"abracadabra abracad", b"the cat sat on the mat", b"the cab sat", b""]
     nodes, kids = {}, collections.defaultdict(float)
 
     def update(ctx, node, bit):
         top = nodes.get((node, ()), [0, 0, 0.0, 0.0])[3]
         change = 0.0
-        for key in ((node, ctx), (node, ctx[1:]), (node, ())):
+        for key in ((node, ctx[:d]) for d in range(depth, -1, -1)):
             x = nodes.setdefault(key, [0, 0, 0.0, 0.0])
             x[2] += math.log((x[bit] + 0.5) / (x[0] + x[1] + 1))
             x[bit] += 1
-            if len(key[1]) < 2:
+            if len(key[1]) < depth:
                 kids[key] += change
-            new = x[2] if len(key[1]) == 2 else math.log(0.5) + np.logaddexp(x[2], kids[key])
+            new = x[2] if len(key[1]) == depth else math.log(0.5) + np.logaddexp(x[2], kids[key])
             change, x[3] = new - x[3], new
         return nodes[node, ()][3] - top
 
-    def feed(data):
-        ctx, total = (0, 0), 0.0
+    def feed(data, ctx=None):
+        ctx, total = ctx or (0,) * depth, 0.0
         for byte in data:
             node = 1
             for k in range(7, -1, -1):
                 total += update(ctx, node, byte >> k & 1)
                 node = 2 * node + (byte >> k & 1)
-            ctx = (ctx[1], byte)
+            ctx = (byte, *ctx[:-1])
         return total
 
     for t in train:
         feed(t + b"\0")
     data = b"".join(t + b"\0" for t in train)
-    codes, n = np.unique(context_tree.triples(data, np.cumsum([len(t) + 1 for t in train])), return_counts=True)
-    model = context_tree.ContextTree.build(codes, n)
-    import copy
-
-    for byte in b"atbz\0":
+    codes, n = np.unique(context_tree.strings(data, np.cumsum([len(t) + 1 for t in train]), depth), return_counts=True)
+    asked = [(ctx, byte) for ctx in (b"", b"the ", b"ca", b"zz", b"zthe") for byte in b"atbz\0 "]
+    wanted = [context_tree.strings(ctx + bytes([byte]), np.array([len(ctx) + 1]), depth)[-1] for ctx, byte in asked]
+    every = np.union1d(codes, wanted)
+    counts = np.zeros(len(every), np.int64)
+    counts[np.searchsorted(every, codes)] = n
+    deep = context_tree.Deep(every, counts, depth)
+    three, inverse = np.unique(context_tree.triples(codes, depth), return_inverse=True)
+    top = context_tree.Top.build(three, np.bincount(inverse, weights=n), deep.keys, deep.below)
+    found = deep.log10(every, top)
+    for (ctx, byte), code in zip(asked, wanted, strict=True):
         held = copy.deepcopy((nodes, dict(kids)))
-        p = feed(bytes([byte])) / math.log(10)
+        p = feed(bytes([byte]), (*ctx[::-1], *[0] * depth)[:depth]) / math.log(10)
         nodes.clear()
         nodes.update(held[0])
         kids.clear()
         kids.update(held[1])
-        assert abs(p - model.log10[model.row_of[0], byte]) < 1e-5
-    total = (10.0 ** model.log10.astype(float)).sum(1)
-    assert np.allclose(total, 1, atol=1e-4)
+        assert abs(p - found[np.searchsorted(every, code)]) < 1e-5, (ctx, byte)
 
 
 def test_scores_and_base_model(spark, awkward, empty):
@@ -368,6 +374,12 @@ def test_html_without_article_takes_the_text_paths():
     assert html_text.main_blocks(page) == [text, text]
 
 
+def test_html_class_names():
+    body = "<p>The text of the page, which is what matters.</p>"
+    assert html_text.main_blocks(f"<div class='content with-sidebar'>{body}</div><div class='left-sidebar'>{body}</div>") == ["The text of the page, which is what matters."]
+    assert html_text.main_blocks(f"<main>{body}<article class='comment first'><p>Not me, I disagree.</p></article></main>") == ["The text of the page, which is what matters."]
+
+
 def test_url_rules_and_trees(spark):
     rules = [("https://a.com/en/1", "block", "com/en/"), ("http://Example.COM/en/7x?q", "allow", "example.com/en/7"), ("http://x.net/de/1", "allow", "net/de/"), ("http://example.net/de/80#f", "block", "example.net/de/8"), ("http://m.example.net/de/9", "allow", "net/de/"), ("http://o.org/es/", "block", "org/es/"), ("http://notcom/en/1", None, None), ("no scheme", None, None), (None, None, None), ("http://h?x=/en/", None, None), ("://com/en/", "block", "com/en/")]
     df = spark.createDataFrame([(i, u) for i, (u, _, _) in enumerate(rules)], "page_id int, url string").withColumn("host", F.lit("clash"))

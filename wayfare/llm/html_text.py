@@ -53,10 +53,21 @@ HINTS = frozenset(
     "menu nav navbar navigation breadcrumb breadcrumbs masthead header footer contentinfo copyright legal disclaimer comment comments "
     "respond replies disqus related recommended share sharing social widget toolbar login search searchbox pagination pager skip dialog".split()
 )
+BESIDE = frozenset("has with without no is js".split())
+#: Classes of articles that are not the page's own.
+NOT_MAIN = frozenset("comment comments reply teaser related ad advert promo sponsored".split())
 STRONG = frozenset(("article", "main"))
 PUNCTUATION = re.compile(r"[.,;:!?。，！？…]")
 
 
+def _hinted(tag: str, value: str) -> bool:
+    """Whether a class, id or role marks boilerplate: one of its names has a hint word, unless it only tells what is beside (``with-sidebar``)."""
+    names = value.split()
+    if tag in ROOTS:
+        return tag == "article" and not NOT_MAIN.isdisjoint(names)
+    return any(parts[0] not in BESIDE and not HINTS.isdisjoint(parts) for parts in map(PARTS.split, names))
+
+
 class _Page:
     """Blocks of one page: (text, path, boilerplate, linked characters)."""
 
@@ -98,8 +109,8 @@ class _Page:
                 value = (m["a"] or m["b"] or m["c"] or "").lower()
                 if m["name"].lower() == "class" and value.split():
                     label = f"{tag}.{value.split()[0]}"
-                if not out and tag not in ROOTS:
-                    out = not HINTS.isdisjoint(PARTS.split(value))
+                if not out:
+                    out = _hinted(tag, value)
         if tag not in INLINE:
             if tag not in VOID:
                 self.close(("p",))

@@ -197,4 +197,29 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
-ORACLES: dict[str, str] = {"op1_mixing": _MIX, "op3_topk": _TOPK, "op9_minhash": _MINHASH, "op10_quality_rules": _quality_sql()}
+_REPEATS = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS id, encode(coalesce(text, '')) AS b FROM documents
+), w AS (
+  SELECT rid, id, s, hex(b[s : s + 49]) AS k FROM (SELECT rid, id, b, unnest(range(1, octet_length(b) - 48)) AS s FROM d WHERE octet_length(b) >= 50)
+), f AS (
+  SELECT rid, s FROM (SELECT rid, s, id, min(id) OVER (PARTITION BY k) AS least FROM w) WHERE id > least
+), g AS (
+  SELECT rid, s, sum(CASE WHEN before IS NULL OR s > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY s) AS grp FROM (SELECT rid, s, lag(s) OVER (PARTITION BY rid ORDER BY s) AS before FROM f)
+), r AS (
+  SELECT rid, min(s) AS a, max(s) + 50 AS z FROM g GROUP BY rid, grp
+), n AS (
+  SELECT rid, count(*) AS n_spans, sum(z - a) AS n_removed FROM r GROUP BY rid
+), edges AS (
+  SELECT rid, z AS a FROM r UNION ALL SELECT rid, 1 FROM d
+), kept AS (
+  SELECT e.rid, e.a, coalesce((SELECT min(r.a) FROM r WHERE r.rid = e.rid AND r.a >= e.a), octet_length(d.b) + 1) AS z FROM edges e JOIN d USING (rid)
+), t AS (
+  SELECT k.rid, string_agg(CASE WHEN k.z > k.a THEN hex(d.b[k.a : k.z - 1]) ELSE '' END, '' ORDER BY k.a) AS h FROM kept k JOIN d USING (rid) GROUP BY k.rid
+)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(h)) AS kept_sha256
+FROM d LEFT JOIN n USING (rid) JOIN t USING (rid)
+"""
+
+
+ORACLES: dict[str, str] = {"op6_suffix_dedup": _REPEATS, "op1_mixing": _MIX, "op3_topk": _TOPK, "op9_minhash": _MINHASH, "op10_quality_rules": _quality_sql()}
