@@ -34,15 +34,19 @@ def _byte_letters() -> dict[str, int]:
 
 class Encoder:
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.slow = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.fast = self._ranks(spec)
 
+    @functools.cached_property
+    def slow(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _ranks(self, spec: dict):
         model, pre = spec["model"], spec.get("pre_tokenizer") or {}
         plain = model.get("type") == "BPE" and spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
