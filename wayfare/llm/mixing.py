@@ -91,7 +91,7 @@ def schedule(targets: DataFrame, slots: int, block_words: int) -> DataFrame:
     return ranked.unionByName(tail)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: float = 2.0, block_words: int = 1024, range_rows: int = 20_000) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, id_col: str = "doc_id", weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: float = 2.0, block_words: int = 1024, range_rows: int = 2_000) -> tuple[DataFrame, DataFrame]:
     """Mix ``docs`` (``id_col``, source, text).
 
     Returns ``(rows, pieces)``.  rows: one per document with ``doc_id, source,
