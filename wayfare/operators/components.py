@@ -34,12 +34,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         small = large.join(lower, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         nxt = scratch.put(small.where("u <> v").distinct(), f"r{k}")
-        parents = nxt.select(F.col("v").alias("u")).distinct()
-        open_ends = nxt.select("u").distinct().join(parents, "u", "left_semi").limit(1).count()
-        multiple = 0 if open_ends else nxt.groupBy("u").count().where("count > 1").limit(1).count()
         scratch.drop(f"r{k - 1}")
         star = nxt
-        if not open_ends and not multiple:
+        # stars: every node has one edge as the larger end, or only edges as the smaller end
+        ends = nxt.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(nxt.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        ends = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not ends.where("up > 1 or (up > 0 and down > 0)").limit(1).count():
             break
     else:
         raise RuntimeError("components did not converge")

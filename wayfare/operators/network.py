@@ -101,7 +101,7 @@ def first_violations(e: DataFrame, k_cap: int) -> DataFrame:
         hit = scratch.put(hit.withColumn("k", F.lit(k)), f"hit{k}")
         found = hit if found is None else found.unionByName(hit)
         before, level = level, fresh.join(hit.where("weak").select("p"), "p", "left_anti")
-        if not level.limit(1).count():
+        if k < k_cap and not level.limit(1).count():
             break
     strict = found.groupBy("p").agg(F.min("k").alias("j"), F.min_by("strict_in", "k").alias("now"))
     weak = found.where("weak").groupBy("p").agg(F.min("k").alias("j"), F.min_by("weak_in", "k").alias("now"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wayfare.operators import canonical, network, places, sequences
+from wayfare.sources.scratch import Scratch
 
 LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
 
@@ -47,8 +48,9 @@ def route_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(places, stop map, edges)."""
-    p, m = geometry(spark, sf_dir)
-    return p, m, network.edges(network.place_steps(route_stops(spark, sf_dir), m, strict=False), p)
+    scratch = Scratch(spark, "graph")
+    p, m = (scratch.put(df, name) for df, name in zip(geometry(spark, sf_dir), ("places", "map"), strict=True))
+    return p, m, scratch.put(network.edges(network.place_steps(route_stops(spark, sf_dir), m, strict=False), p), "edges")
 
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:

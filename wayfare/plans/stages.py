@@ -14,6 +14,7 @@ from wayfare import config
 from wayfare.errors import ContractViolation
 from wayfare.functions import geo, names, times
 from wayfare.operators import canonical, joins, network, places, sequences
+from wayfare.sources.scratch import Scratch
 
 Tables = dict[str, DataFrame]
 
@@ -138,11 +139,12 @@ def hubs(tables: Tables, params: dict, overrides: DataFrame | None = None) -> Ta
     h = params["hubs"]
     routes = network.universe_routes(tables["route_catalog"], h["universe_classes"])
     p, m = tables["places"], tables["stop_place_map"]
-    edges = network.edges(network.place_steps(tables["backbone_stops"], m, routes), p)
+    scratch = Scratch(p.sparkSession, "hubs")
+    edges = scratch.put(network.edges(network.place_steps(tables["backbone_stops"], m, routes), p), "edges")
     d = network.degree(edges, p)
     angles = sorted({float(a) for a in h["grid"]["arm_degrees"]} | {float(h["arm_degrees"])})
     by_angle = network.arms(network.bearings(edges, p), p, angles)
-    broken = network.first_violations(edges, max([*h["grid"]["k_max"], h["k_max"]]))
+    broken = scratch.put(network.first_violations(edges, max([*h["grid"]["k_max"], h["k_max"]])), "violations")
     life = network.lifetimes(broken, d, h["mask"], h["dominance"], h["k_max"])
     arms = by_angle.select("place_id", F.col(f"A_{float(h['arm_degrees']):g}").alias("A"))
     metrics = network.metrics(d, arms, life, p, h["gate_degree"])
