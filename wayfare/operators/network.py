@@ -83,28 +83,33 @@ def first_violations(e: DataFrame, k_cap: int) -> DataFrame:
     stops as soon as its weak comparison has failed.
     """
     scratch = Scratch(e.sparkSession, "lifetime")
-    adjacent = scratch.put(both_ways(e), "adjacent")
+    adjacent = both_ways(e)
     deg = adjacent.groupBy("p").agg(F.count(F.lit(1)).alias("d"))
-    own, other = deg.select(F.col("p"), F.col("d").alias("dp")), deg.select(F.col("p").alias("v"), F.col("d").alias("dv"))
-    level = scratch.put(deg.select("p", F.col("p").alias("v")), "level0")
-    before = level.limit(0)
-    found = None
+    adjacent = scratch.put(adjacent.join(deg, "p").join(deg.select(F.col("p").alias("q"), F.col("d").alias("dq")), "q").select("p", "q", "d", "dq"), "adjacent")
+    step = adjacent.select(F.col("p").alias("u"), F.col("q").alias("v"), F.col("dq").alias("dv"))
+    levels = [scratch.put(adjacent.select("p", F.col("p").alias("v"), F.col("d").alias("dp"), F.col("d").alias("dv")).distinct().withColumn("k", F.lit(0)), "level0")]
+    frontier = levels[0]
     for k in range(1, k_cap + 1):
-        reached = level.select("p", F.col("v").alias("u")).join(adjacent.select(F.col("p").alias("u"), F.col("q").alias("v")), "u").select("p", "v").distinct()
-        fresh = scratch.put(reached.join(level.unionByName(before), ["p", "v"], "left_anti"), f"level{k}")
-        compared = fresh.join(own, "p").join(other, "v").where("dv >= dp")
-        within = level.unionByName(fresh)
-        inside = compared.join(adjacent.select(F.col("p").alias("v"), F.col("q").alias("n")), "v").join(within.select("p", F.col("v").alias("n")), ["p", "n"], "left_semi")
-        inside = inside.groupBy("p", "v").agg(F.count(F.lit(1)).alias("din"))
-        full = compared.join(inside, ["p", "v"], "left").withColumn("din", F.coalesce("din", F.lit(0)))
-        hit = full.groupBy("p").agg(F.max(F.col("dv") > F.col("dp")).alias("weak"), F.max(F.col("din") > F.col("dp")).alias("weak_in"), F.max(F.col("din") >= F.col("dp")).alias("strict_in"))
-        hit = scratch.put(hit.withColumn("k", F.lit(k)), f"hit{k}")
-        found = hit if found is None else found.unionByName(hit)
-        before, level = level, fresh.join(hit.where("weak").select("p"), "p", "left_anti")
-        if k < k_cap and not level.limit(1).count():
+        reached = frontier.select("p", "dp", F.col("v").alias("u")).join(step, "u").groupBy("p", "v").agg(F.first("dp").alias("dp"), F.first("dv").alias("dv"))
+        seen = levels[-1].select("p", "v") if k == 1 else levels[-1].select("p", "v").unionByName(levels[-2].select("p", "v"))
+        fresh = scratch.put(reached.join(seen, ["p", "v"], "left_anti").withColumn("k", F.lit(k)), f"level{k}")
+        levels.append(fresh)
+        if k == k_cap or not fresh.where("dv <= dp").limit(1).count():
             break
-    strict = found.groupBy("p").agg(F.min("k").alias("j"), F.min_by("strict_in", "k").alias("now"))
-    weak = found.where("weak").groupBy("p").agg(F.min("k").alias("j"), F.min_by("weak_in", "k").alias("now"))
+        frontier = fresh.join(fresh.where("dv > dp").select("p").distinct(), "p", "left_anti")
+    every = levels[0]
+    for t in levels[1:]:
+        every = every.unionByName(t)
+    after = every.where("k > 0")
+    first = after.groupBy("p").agg(F.min(F.when(F.col("dv") >= F.col("dp"), F.col("k"))).alias("js"), F.min(F.when(F.col("dv") > F.col("dp"), F.col("k"))).alias("jw"))
+    compared = after.where("dv >= dp").join(first, "p").where("k = js or k = jw")
+    near = every.select("p", F.col("v").alias("n"), F.col("k").alias("kn"))
+    inside = compared.join(adjacent.select(F.col("p").alias("v"), F.col("q").alias("n")), "v").join(near, ["p", "n"]).where("kn <= k").groupBy("p", "v").agg(F.count(F.lit(1)).alias("din"))
+    full = compared.join(inside, ["p", "v"], "left").withColumn("din", F.coalesce("din", F.lit(0)))
+    hit = full.groupBy("p", "js", "jw").agg(F.max((F.col("k") == F.col("js")) & (F.col("din") >= F.col("dp"))).alias("strict_in"), F.max((F.col("k") == F.col("jw")) & (F.col("din") > F.col("dp"))).alias("weak_in"))
+    hit = scratch.put(hit, "hits")
+    strict = hit.where("js is not null").select("p", F.col("js").alias("j"), F.col("strict_in").alias("now"))
+    weak = hit.where("jw is not null").select("p", F.col("jw").alias("j"), F.coalesce("weak_in", F.lit(False)).alias("now"))
     parts = []
     for name, t in (("strict", strict), ("weak", weak)):
         late = F.col("j") + F.when(F.col("now"), 0).otherwise(1)
