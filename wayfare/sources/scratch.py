@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -24,9 +26,22 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_RUNS: list[Scratch] = []
+
+
+def _clean() -> None:
+    """Remove the tables of this process when it ends; results that are still wanted have been written elsewhere by then."""
+    for run in _RUNS:
+        with contextlib.suppress(Exception):  # the JVM may be gone
+            run.drop("")
+    _RUNS.clear()
+
+
 class Scratch:
     """Intermediate tables of one operator run.
 
+    They last as long as the application, since results may still read them.
+
     Written Parquet cuts lineage, survives lost executors and is evaluated
     once however often it is read.  ``drop`` removes a table that nothing
     reads any more.
@@ -35,9 +50,13 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+        self._hadoop = spark._jsc.hadoopConfiguration()
+        if not _RUNS:
+            atexit.register(_clean)
+        _RUNS.append(self)
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        return f"{self.root}/{name}" if name else self.root
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
@@ -50,4 +69,4 @@ class Scratch:
     def drop(self, *names: str) -> None:
         for name in names:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            path.getFileSystem(self._hadoop).delete(path, True)
