@@ -48,7 +48,7 @@ class MTree:
         self.length2 = float((self.vectors[0] ** 2).sum() + self.lift[0] ** 2) if len(self.ids) else 0.0
 
     @classmethod
-    def build(cls, vectors: np.ndarray, ids: np.ndarray, page: int = 64) -> MTree:
+    def build(cls, vectors: np.ndarray, ids: np.ndarray, page: int = 256) -> MTree:
         vectors = vectors.astype(np.float64)
         norms = (vectors**2).sum(1)
         lift = np.sqrt(np.maximum(norms.max(initial=0.0) - norms, 0.0))
@@ -172,7 +172,7 @@ def _matrix(packed: list[bytes], width: int) -> np.ndarray:
     return out
 
 
-def search(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, scale: float = 256.0, tree_rows: int = 4096, block_rows: int = 1024) -> DataFrame:
+def search(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, scale: float = 256.0, tree_rows: int = 4096, block_rows: int = 1024, page_rows: int = 256) -> DataFrame:
     """The k best rows for every row where ``is_query(id column)`` holds: query_id, rank, vec_id, score."""
     scratch = Scratch(rows.sparkSession, "metric-tree")
     vectors = scratch.put(integer_vectors(rows, id_col, vector_col, scale).distinct(), "vectors")
@@ -184,7 +184,7 @@ def search(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str =
 
     def plant(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("id")
-        tree = MTree.build(_matrix(table["v"].to_pylist(), width), table["id"].to_numpy())
+        tree = MTree.build(_matrix(table["v"].to_pylist(), width), table["id"].to_numpy(), page_rows)
         return pa.table({"tree": [key[0].as_py()], "pages": [tree.dumps()]}, schema=pa.schema([("tree", pa.int64()), ("pages", pa.binary())]))
 
     def gather(key: tuple, table: pa.Table) -> pa.Table:
