@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare import config
@@ -34,16 +33,12 @@ def _expect(job: Job, name: str) -> dict | None:
     return job.expect.get("raw", {}).get(name)
 
 
-def _row(df: DataFrame):
-    return F.col("_metadata.row_index")
-
-
 def ingest_planned(job: Job) -> stages.Tables:
     _raw(job, "schedule_planned.parquet", "stops_planned.parquet", "routes_planned.parquet", "tags.csv", "evidence")
     read, box = job.spark.read.parquet, job.params["coordinates"]
     schedule = read(job.raw("schedule_planned.parquet"))
     raw = {
-        "schedule": loaders.load_schedule_planned(schedule, _expect(job, "schedule_planned"), _row(schedule)),
+        "schedule": loaders.load_schedule_planned(schedule, _expect(job, "schedule_planned"), F.col("_metadata.row_index")),
         "stops": loaders.load_stops_planned(read(job.raw("stops_planned.parquet")), _expect(job, "stops_planned"), box),
         "routes": loaders.load_routes_planned(read(job.raw("routes_planned.parquet")), _expect(job, "routes_planned")),
         "tags": loaders.typed_tags(loaders.load_tags(loaders.read_csv(job.spark, job.raw("tags.csv"), loaders.COLUMNS["tags"]), _expect(job, "tags"))),

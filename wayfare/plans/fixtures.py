@@ -7,6 +7,8 @@ which each may use those before it.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -164,8 +166,6 @@ CTES = {
 
 def sql(final: str) -> str:
     """A query over the derived tables: those that it needs, and those that these need, come first."""
-    import re
-
     need: set[str] = set()
     todo = [final]
     while todo:
