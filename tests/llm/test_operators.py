@@ -224,6 +224,30 @@ def test_repeats_on_awkward_rows(awkward, empty):
     assert out.columns == awkward.columns and out.where("doc_id = 6").first()["text"] == LONG
 
 
+def test_without_repeats_keeps_awkward_rows(spark, awkward, empty):
+    def shown(df):
+        return sorted(((r["doc_id"], r["text"], r["at"]) for r in df.select("doc_id", "text", "at").collect()), key=str)
+
+    want = [(i, " tail" if i == 7 else t, 7) for i, t, *_ in AWKWARD]
+    got = suffix_dedup.without_repeats(awkward)
+    assert got.columns == awkward.columns and shown(got) == sorted(want, key=str)
+    assert suffix_dedup.without_repeats(empty).count() == 0
+    passage = "".join(chr(0x4E00 + i) for i in range(40))
+    rows = [(1, "x" + passage), (2, "a\ufffdb" + passage + "é\ufffd"), (2, "a\ufffdb" + passage + "é\ufffd"), (2, "other"), (3, passage), (None, passage + "end"), (None, "x" + passage), (None, None), (4, "head" + passage.encode()[1:-1].decode("utf-8", "ignore") + "\u4eff")]
+    got = suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    tail = "a\ufffdbé\ufffd"
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "x" + passage), (2, tail), (2, tail), (2, "other"), (None, "end"), (None, None), (4, "head")], key=str)
+
+
+def test_cut_drops_only_split_characters(spark):
+    text = "aé\ufffd世\U0001f600z"  # bytes: a 0, é 1-2, U+FFFD 3-5, 世 6-8, emoji 9-12, z 13
+    raw = text.encode()
+    cases = [(a, z) for a in range(len(raw)) for z in range(a + 1, len(raw) + 1)]
+    df = spark.createDataFrame([(text, [(a, z)]) for a, z in cases], "text string, spans array<struct<start:long,end:long>>")
+    got = [r[0] for r in df.coalesce(1).select(suffix_dedup._cut(F.col("text"), F.col("spans"))).collect()]
+    assert got == [raw[:a].decode("utf-8", "ignore") + raw[z:].decode("utf-8", "ignore") for a, z in cases]
+
+
 def test_loser_tree_keeps_prefixes():
     rng = random.Random(2)
     same = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b, strict=True)) if x != y), len(a))

@@ -39,6 +39,7 @@ ignored.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -46,10 +47,10 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, let
 from .minhash import mix64
 
 NO_ID = np.int64(2**63 - 1)
@@ -142,9 +143,9 @@ class _Distinct:
         return np.minimum(np.bincount(pairs, minlength=len(self.keys)), 65535).astype(np.uint16)
 
 
-def pack_header(ids: list, texts: list[bytes], whole: list[int]) -> bytes:
-    """Per document: id, whether there is one, bytes in the batch's body, bytes of the document if it goes whole (else -1)."""
-    return np.column_stack((np.array([NO_ID if i is None else i for i in ids], np.int64), np.array([i is not None for i in ids], np.int64), np.array([len(t) for t in texts], np.int64), np.array(whole, np.int64))).tobytes()
+def pack_header(ids: list, texts: list[bytes], whole: list[int], digests: list[bytes]) -> bytes:
+    """Per document: id, whether there is one, bytes in the batch's body, bytes of the document if it goes whole (else -1), digest of the document (two numbers)."""
+    return np.column_stack((np.array([NO_ID if i is None else i for i in ids], np.int64), np.array([i is not None for i in ids], np.int64), np.array([len(t) for t in texts], np.int64), np.array(whole, np.int64), np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2))).tobytes()
 
 
 def _pack_spans(spans: np.ndarray) -> bytes:
@@ -162,7 +163,7 @@ def _unpack_spans(blob: bytes) -> np.ndarray:
 
 def _unpack(header, body) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The header's rows, ends of texts, all bytes."""
-    head = np.frombuffer(header.as_buffer(), np.int64).reshape(-1, 4)
+    head = np.frombuffer(header.as_buffer(), np.int64).reshape(-1, 6)
     data = np.frombuffer(zstandard.ZstdDecompressor().decompress(body.as_py()), np.uint8)
     return head, np.cumsum(head[:, 2]), data
 
@@ -183,16 +184,16 @@ def _batches(docs: DataFrame, length: int, gram: int, ranges: int, batch_bytes:
         number = TaskContext.get().partitionId() << 32
         packer = zstandard.ZstdCompressor(level=3)
 
-        def flush(ids: list, texts: list[bytes], whole: list[int]) -> pa.RecordBatch:
+        def flush(ids: list, texts: list[bytes], whole: list[int], digests: list[bytes]) -> pa.RecordBatch:
             body = b"".join(texts)
             anchors = Anchors(np.frombuffer(body, np.uint8), np.cumsum([len(t) for t in texts]), length, gram)
             keys = _Distinct(anchors, ranges)
             many, low = keys.documents(anchors.doc), keys.keys.astype(np.uint32)
             rows = [(0, number, r, low[x:y].tobytes(), many[x:y].tobytes()) for r, (x, y) in enumerate(zip(keys.cuts[:-1], keys.cuts[1:], strict=True)) if x < y]
-            rows.append((1, number, -1, pack_header(ids, texts, whole), packer.compress(body)))
+            rows.append((1, number, -1, pack_header(ids, texts, whole, digests), packer.compress(body)))
             return _record(rows)
 
-        ids, texts, whole, held = [], [], [], 0
+        ids, texts, whole, digests, held = [], [], [], [], 0
         for batch in incoming:
             for doc, text, copy in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
@@ -200,12 +201,13 @@ def _batches(docs: DataFrame, length: int, gram: int, ranges: int, batch_bytes:
                 ids.append(doc)
                 texts.append(b"" if gone else raw)
                 whole.append(len(raw) if gone else -1)
+                digests.append(hashlib.md5(raw, usedforsecurity=False).digest())
                 held += len(texts[-1]) + 64
                 if held >= batch_bytes:
-                    yield flush(ids, texts, whole)
-                    ids, texts, whole, held, number = [], [], [], 0, number + 1
+                    yield flush(ids, texts, whole, digests)
+                    ids, texts, whole, digests, held, number = [], [], [], [], 0, number + 1
         if ids:
-            yield flush(ids, texts, whole)
+            yield flush(ids, texts, whole, digests)
 
     return docs.mapInArrow(run, ROWS_DDL)
 
@@ -514,19 +516,20 @@ def _merge(length: int, gram: int):
     return run
 
 
-RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
+RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary()), ("digest", pa.binary())])
 
 
 def _finish(key: tuple, batch: pa.Table, found: pa.Table) -> pa.Table:
     """Removed spans (maximal) and remaining bytes of a batch's documents."""
-    out: list[list] = [[], [], [], []]
+    out: list[list] = [[], [], [], [], []]
     for header, body in zip(batch["a"], batch["b"], strict=True):
         head, ends, data = _unpack(header, body)
         starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
         spans = np.concatenate([_unpack_spans(x.as_py()) for x in found["a"]] or [np.empty((0, 3), np.int64)])
         spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
         edges = np.searchsorted(spans[:, 0], np.arange(len(head) + 1))
-        for d, ((i, k, _, whole), s, e) in enumerate(zip(head.tolist(), starts.tolist(), ends.tolist(), strict=True)):
+        out[4].extend(x.tobytes() for x in head[:, 4:])
+        for d, ((i, k, _, whole, *_), s, e) in enumerate(zip(head.tolist(), starts.tolist(), ends.tolist(), strict=True)):
             if whole >= 0:
                 out[0].append(i if k else None)
                 out[1].append(whole)
@@ -567,7 +570,7 @@ def _marked_copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 24, id_col: str = "doc_id", text_col: str = "text", hot_documents: int = 8192, docs_per_range: int = 4000, batch_bytes: int = 4 << 20, merge_entries: int = 100_000) -> DataFrame:
-    """One row per document: doc_id, n_bytes, spans (removed, maximal, in bytes) and kept (remaining bytes)."""
+    """One row per document: doc_id, n_bytes, spans (removed, maximal, in bytes), kept (remaining bytes) and digest (MD5 of the text)."""
     scratch = Scratch(docs.sparkSession, "suffix")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ranges = max(8, math.ceil(docs.count() / docs_per_range))
@@ -594,19 +597,39 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 24, id_col: st
     merged = scratch.put(merged, "merged")
     scratch.drop("runs/kind=2")
     found = kind("runs", 3).select("batch", "a").unionByName(merged.select("batch", "a"))
-    return texts.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(_finish, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    return texts.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(_finish, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, digest binary")
+
+
+def _cut(text: Column, spans: Column) -> Column:
+    """``text`` without the bytes of ``spans``, and without what is left of characters that a span's edge splits."""
+
+    def body(raw: Column) -> Column:
+        inside = lambda i: F.substr(raw, (i + 1).cast("int"), F.lit(1)).between(F.unhex(F.lit("80")), F.unhex(F.lit("BF")))
+        after = lambda i: i + F.when(~inside(i), 0).when(~inside(i + 1), 1).when(~inside(i + 2), 2).otherwise(3)
+        before = lambda i: i - F.when(~inside(i), 0).when(~inside(i - 1), 1).when(~inside(i - 2), 2).otherwise(3)
+        starts = F.concat(F.array(F.lit(0).cast("long")), F.transform(spans, lambda x: after(x["end"])))
+        ends = F.concat(F.transform(spans, lambda x: before(x["start"])), F.array(F.length(raw).cast("long")))
+        piece = lambda a, z: F.substr(raw, (a + 1).cast("int"), F.greatest(z - a, F.lit(0)).cast("int")).cast("string")
+        return F.array_join(F.zip_with(starts, ends, piece), "")
+
+    return let(text.cast("binary"), body)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """``docs`` with repeated passages cut out of the text (bytes of a split character go too) and ``n_chars`` renewed.
 
-    Documents of which nothing is left go.  Ids must be distinct.
+    Documents that lost a passage and of which nothing is left go; all other
+    rows stay, as often as they are there and with or without an id or text.
+    What a row loses depends on its id and text alone, so the spans are joined
+    by both.
     """
-    found = remove_repeats(docs, id_col=id_col, text_col=text_col, **params).where(F.length("kept") > 0)
-    text = F.make_valid_utf8(F.col("kept").cast("string"))
-    text = F.when(F.size("spans") > 0, F.replace(text, F.lit("\ufffd"), F.lit(""))).otherwise(text)
-    kept = found.select(F.col("doc_id").alias("__id"), text.alias("__text"))
-    out = docs.drop(text_col).join(kept, docs[id_col] == kept["__id"]).withColumnRenamed("__text", text_col)
+    found = remove_repeats(docs, id_col=id_col, text_col=text_col, **params).where(F.size("spans") > 0)
+    found = found.groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).agg(F.first("spans").alias("__spans"))
+    text = docs[text_col].cast("string")
+    digest = F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    out = docs.join(found, docs[id_col].cast("long").eqNullSafe(found["__id"]) & (digest == found["__digest"]), "left")
+    cut = F.col("__spans").isNotNull()
+    out = out.withColumn(text_col, F.when(cut, _cut(text, F.col("__spans"))).otherwise(text)).where(~cut | (F.length(text_col) > 0))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
