@@ -399,6 +399,17 @@ def test_html_without_article_takes_the_text_paths():
     assert html_text.main_blocks(page) == [text, text]
 
 
+def test_html_without_article_keeps_lists_tables_quotes_and_headings():
+    text = "A sentence, with commas, that is long enough to be the text of a page; it says much. " * 4
+    item, link = "A short item of a list without much to say.", "<li><a href=x>Elsewhere on this site</a></li>"
+    inner = f"<h2>A heading</h2><p>{text}</p><ul>" + f"<li>{item}</li>" * 6 + f"</ul><p>{text}</p><table><tr><th>Name</th><td>Value</td></tr></table><blockquote><p>Quoted words</p></blockquote><div><dl><dt>Term</dt><dd>Meaning</dd></dl></div>"
+    want = ["A heading", text.strip(), *[item] * 6, text.strip(), "Name", "Value", "Quoted words", "Term", "Meaning"]
+    around = f"<div class=top><ul>{link * 5}</ul></div>", "<div class=low><span>Made by us</span></div>"
+    assert html_text.main_blocks(f"<body>{around[0]}<div class=content>{inner}</div>{around[1]}</body>") == want
+    assert html_text.main_blocks(f"<body>{around[0]}<div class=page><div class=content>{inner}<ul class=more>{link * 5}</ul></div></div>{around[1]}</body>") == want
+    assert html_text.main_blocks(f"<body>{around[0]}<div class=content>{text}<br>{text}<ul><li>{item}</li></ul></div></body>") == [text.strip(), text.strip(), item]
+
+
 def test_html_class_names():
     body = "<p>The text of the page, which is what matters.</p>"
     assert html_text.main_blocks(f"<div class='content with-sidebar'>{body}</div><div class='left-sidebar'>{body}</div>") == ["The text of the page, which is what matters."]

@@ -4,8 +4,9 @@ A page is a sequence of text blocks, each with its root-to-leaf tag path.  Per
 path, text length and punctuation are aggregated over its blocks: the ratio
 of a path is characters per block times one plus punctuation marks per block,
 less the share of linked text.  Ratios are smoothed over similar paths (common
-prefix), fused with the ratio of the container that the path lies in, and
-paths at or above a share of the page's best are content.  Paths through
+prefix), fused with the ratio of the best container that the path lies in, at
+any depth (so lists, tables and quotes of a text stay with it), and paths at or
+above a share of the page's best are content.  Paths through
 menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments have no ratio; paths through an article or main
 element outweigh all others.  One page is one row: a scan and no shuffle.
@@ -179,8 +180,17 @@ def path_scores(found: list[tuple[str, tuple[str, ...], bool, int]], sharpness:
         strong = [i for i, label in enumerate(p) if label.split(".")[0] in STRONG]
         home[p] = p[: strong[0] + 1] if strong else p[:-1]
         container[home[p]] = max(container.get(home[p], 0.0), smooth[p])
+    # What an element bears is its own text and that of blocks directly in it which are no containers themselves.
+    bears: dict[tuple[str, ...], float] = dict(smooth)
+    for p in smooth:
+        if p and p[-1].split(".")[0] not in SCOPES:
+            bears[p[:-1]] = max(bears.get(p[:-1], 0.0), smooth[p])
     weight = {p: 1e6 if home[p] and home[p][-1].split(".")[0] in STRONG else 1.0 for p in smooth}
-    return {p: weight[p] * max(smooth[p], container_share * container[home[p]]) for p in smooth}
+    support = {}
+    for p, t in totals.items():
+        above = max((bears.get(p[:k], 0.0) for k in range(len(p))), default=0.0) if weight[p] == 1.0 else 0.0
+        support[p] = max(container[home[p]], (1 - 0.9 * t[3] / t[0]) * above)
+    return {p: weight[p] * max(smooth[p], container_share * support[p]) for p in smooth}
 
 
 def main_blocks(html: str | None, least_share: float = 0.4) -> list[str]:
