@@ -428,3 +428,16 @@ def test_url_rules_and_trees(spark):
     fresh = spark.createDataFrame([(9001, "http://zz.com/fr/4"), (9002, "http://zz.net/fr/4")], "page_id long, url string")
     out = {r["page_id"]: r["verdict"] for r in urls.judge(many.unionByName(fresh)).where("page_id > 9000").collect()}
     assert out == {9001: "block", 9002: "allow"}
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 10])
+def test_url_trees_know_the_suffixes_of_all_hosts(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(urls, "BROADCAST_SUFFIXES", broadcast)
+    what = ["block" if random.Random(i).random() < 0.5 else "allow" for i in range(150)]
+    rules = [(w, f"h{i:03}.zz", "/") for i, w in enumerate(what)]
+    df = spark.createDataFrame([(i, f"http://h{i:03}.zz/{j}") for i in range(150) for j in range(8)] + [(1000 + i, f"http://h{i:03}.zz?x") for i in range(150)], "page_id long, url string")
+    counts = urls.suffix_counts(urls.with_features(urls.apply_rules(urls.parse(df), rules))).collect()
+    want = {("suffix1", "zz"): (8 * what.count("block"), 1200)} | {(k, f"h{i:03}.zz"): (8 * (w == "block"), 8) for i, w in enumerate(what) for k in ("suffix2", "suffix3")}
+    assert {(r["level"], r["suffix"]): (r["blocked"], r["n"]) for r in counts} == want
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.judge(df, rules).where("page_id >= 1000").collect()}
+    assert got == {1000 + i: (None, w) for i, w in enumerate(what)}

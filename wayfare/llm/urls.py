@@ -3,10 +3,11 @@
 Features are lexical and computed by columns: lengths, depth, digit ratio,
 character entropy, parameter counts and statistics of the host's suffixes
 (last one, two and three labels: how often labelled urls with that suffix are
-blocked).  The labelled urls are those that a rule decides; the trees are
-fitted on a bounded sample of them (``max_rows``, smallest hashes first) and
-compiled into one ``CASE WHEN`` sum, so that judging is a scan and a
-projection in generated code.
+blocked).  The labelled urls are those that a rule decides.  The statistics
+are a table of all their suffixes, joined to the urls (broadcast while it is
+small).  The trees are fitted on a bounded sample of the labelled urls
+(``max_rows``, smallest hashes first) and compiled into one ``CASE WHEN`` sum,
+so that judging is a scan, the join and a projection in generated code.
 
 Edge cases: a null url or one without ``://`` has empty host and path, no rule
 fits it and the trees judge it; repeated rows are judged one by one; an empty
@@ -23,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER
+from .common import UPPER, Scratch
 
 #: (verdict, host, path prefix): the rules of the default filter.
 DEFAULT_RULES = (
@@ -35,6 +36,8 @@ DEFAULT_RULES = (
 )
 NUMERIC = ("url_chars", "host_chars", "path_chars", "labels", "hyphens", "depth", "digit_ratio", "entropy", "parameters", "query_chars")
 SUFFIXES = ("suffix1", "suffix2", "suffix3")
+#: Suffixes (of one level) up to which their rates are broadcast, and the most characters that these may have in all.
+BROADCAST_SUFFIXES, BROADCAST_CHARS = 100_000, 8 << 20
 
 
 def parse(urls: DataFrame, column: str = "url") -> DataFrame:
@@ -82,25 +85,28 @@ def with_features(parsed: DataFrame, column: str = "url") -> DataFrame:
     return parsed.withColumns({k: v if k in SUFFIXES else v.cast("double") for k, v in values.items()})
 
 
+def suffix_counts(labelled: DataFrame) -> DataFrame:
+    """(level, suffix, blocked, n) of all suffixes of the labelled urls."""
+    suffixes = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.col(k).alias("suffix")) for k in SUFFIXES]))
+    ones = labelled.where(F.col("rule_verdict").isNotNull()).select((F.col("rule_verdict") == "block").cast("long").alias("y"), suffixes.alias("s"))
+    return ones.groupBy("s.level", "s.suffix").agg(F.sum("y").alias("blocked"), F.count(F.lit(1)).alias("n"))
+
+
+def with_rates(featured: DataFrame, counts: DataFrame, base_rate: float, small: dict[str, bool]) -> DataFrame:
+    """Suffix statistics as columns; a suffix that no labelled url has gets the overall rate."""
+    for name in SUFFIXES:
+        rate = (F.col("blocked") + F.lit(20 * base_rate)) / (F.col("n") + F.lit(20))
+        table = counts.where(F.col("level") == name).select(F.col("suffix").alias(f"__{name}"), rate.alias(f"{name}_rate"))
+        joined = featured.join(F.broadcast(table) if small.get(name, True) else table, F.col(name) == F.col(f"__{name}"), "left").drop(f"__{name}")
+        featured = joined.withColumn(f"{name}_rate", F.coalesce(f"{name}_rate", F.lit(base_rate)))
+    return featured
+
+
 @dataclass
 class Model:
     prior: float = 0.0
-    rates: dict[str, dict[str, float]] = field(default_factory=dict)
-    base_rate: float = 0.5
     trees: list = field(default_factory=list)
 
-    def inputs(self) -> dict[str, Column]:
-        """Suffix statistics as columns; a suffix not seen in training has the overall rate."""
-        out = {}
-        for name in SUFFIXES:
-            known = self.rates.get(name, {})
-            value = F.lit(self.base_rate)
-            if known:
-                table = F.create_map(*[F.lit(x) for kv in sorted(known.items()) for x in kv])
-                value = F.coalesce(F.try_element_at(table, F.col(name)), value)
-            out[f"{name}_rate"] = value
-        return out
-
     def margin(self) -> Column:
         total = F.lit(self.prior)
         for tree in self.trees:
@@ -144,26 +150,17 @@ def _predict(node, x: np.ndarray, names: Sequence[str]) -> np.ndarray:
     return np.where(low, _predict(node[2], x, names), _predict(node[3], x, names))
 
 
-def fit(labelled: DataFrame, max_rows: int = 8192, trees: int = 20, depth: int = 3, rate: float = 0.3, max_suffixes: int = 64) -> Model:
-    """Boosted trees for ``rule_verdict`` = block on at most ``max_rows`` labelled urls."""
-    chosen = labelled.where(F.col("rule_verdict").isNotNull()).orderBy(F.xxhash64("url"), "url").limit(max_rows)
-    rows = chosen.select(*NUMERIC, *SUFFIXES, (F.col("rule_verdict") == "block").cast("int").alias("y")).collect()
+def fit(labelled: DataFrame, rated, max_rows: int = 8192, trees: int = 20, depth: int = 3, rate: float = 0.3) -> Model:
+    """Boosted trees for ``rule_verdict`` = block on at most ``max_rows`` labelled urls; ``rated`` adds the suffix statistics."""
+    order = F.xxhash64("url"), F.col("url")
+    chosen = labelled.where(F.col("rule_verdict").isNotNull()).orderBy(*order).limit(max_rows)
+    rows = rated(chosen).orderBy(*order).select(*NUMERIC, *[f"{k}_rate" for k in SUFFIXES], (F.col("rule_verdict") == "block").cast("int").alias("y")).collect()
     y = np.array([r["y"] for r in rows], dtype=float)
     if not len(y) or y.min() == y.max():
         return Model(prior=0.0 if not len(y) else (4.0 if y[0] else -4.0))
-    model = Model(base_rate=float(y.mean()), prior=float(np.log(y.mean() / (1 - y.mean()))))
-    columns = [np.array([r[k] for r in rows], dtype=float) for k in NUMERIC]
-    for name in SUFFIXES:
-        seen: dict[str, list[float]] = {}
-        for r, label in zip(rows, y, strict=True):
-            s = seen.setdefault(r[name], [0.0, 0.0])
-            s[0] += label
-            s[1] += 1
-        common = sorted(seen, key=lambda k: (-seen[k][1], k))[:max_suffixes]
-        model.rates[name] = {k: (seen[k][0] + 20 * model.base_rate) / (seen[k][1] + 20) for k in common}
-        columns.append(np.array([model.rates[name].get(r[name], model.base_rate) for r in rows]))
+    model = Model(prior=float(np.log(y.mean() / (1 - y.mean()))))
     names = [*NUMERIC, *(f"{k}_rate" for k in SUFFIXES)]
-    x, margin = np.column_stack(columns), np.full(len(y), model.prior)
+    x, margin = np.array([[r[k] for k in names] for r in rows], dtype=float), np.full(len(y), model.prior)
     cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, 17)[1:-1])) for j in range(x.shape[1])]
     for _ in range(trees):
         p = 1 / (1 + np.exp(-margin))
@@ -177,7 +174,14 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = DEFAULT_RULE
     """``pages`` with host, path, rule, ``block_margin`` of the trees and verdict (the rule's, else the trees')."""
     ruled = apply_rules(parse(pages, column), rules)
     featured = with_features(ruled, column)
-    model = fit(featured if column == "url" else featured.withColumn("url", F.col(column)), **params)
-    scored = featured.withColumns(model.inputs()).withColumn("block_margin", model.margin())
+    by_url = featured if column == "url" else featured.withColumn("url", F.col(column))
+    counts = Scratch(pages.sparkSession, "urls").put(suffix_counts(featured), "suffixes")
+    sizes = {r["level"]: r for r in counts.groupBy("level").agg(F.count(F.lit(1)).alias("k"), F.sum(F.length("suffix")).alias("chars"), F.sum("blocked").alias("blocked"), F.sum("n").alias("n")).collect()}
+    one = sizes.get(SUFFIXES[0])
+    base = one["blocked"] / one["n"] if one else 0.5
+    small = {k: r["k"] <= BROADCAST_SUFFIXES and r["chars"] <= BROADCAST_CHARS for k, r in sizes.items()}
+    rated = lambda df: with_rates(df, counts, base, small)
+    model = fit(by_url, rated, **params)
+    scored = rated(featured).withColumn("block_margin", model.margin())
     verdict = F.coalesce("rule_verdict", F.when(F.col("block_margin") > 0, "block").otherwise("allow"))
     return scored.withColumn("verdict", verdict).select(*pages.columns, "host", "path", "rule", "block_margin", "verdict")
