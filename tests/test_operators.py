@@ -223,3 +223,11 @@ def test_radius_pairs_are_exact(spark):
     other = df.select(F.col("stop_id").alias("j"), F.col("lat").alias("y"), F.col("lon").alias("x"))
     want = df.crossJoin(other).where("stop_id < j").where(geo.haversine(F.col("lat"), F.col("lon"), F.col("y"), F.col("x")) <= 90.0)
     assert got == {(r["stop_id"], r["j"]) for r in want.collect()} and got
+
+
+def test_evidence_is_one_document_per_pattern(spark):
+    from wayfare.plans.queries import _evidence
+
+    v = spark.createDataFrame([(1, 1, ["a"]), (2, 1, ["b"]), (3, 2, ["c"])], "trip_id long, pattern_id long, sequence array<string>")
+    got = {r["route"]: (r["n_variants"], sorted((x["route_id"], x["stop_ids"][0]) for x in r["variants"])) for r in _evidence(v).collect()}
+    assert got == {"1": (2, [("1", "a"), ("1", "b")]), "2": (1, [("2", "c")])}

@@ -178,14 +178,19 @@ def _(spark, sf):
     return loaders.typed_tags(loaders.load_tags(loaders.read_csv(spark, path, loaders.COLUMNS["tags"]))).select("pattern_id", "role", "base_id", "is_loop", "verified")
 
 
+def _evidence(v) -> DataFrame:
+    """One document per pattern."""
+    route = F.col("pattern_id").cast("string")
+    return v.groupBy(route.alias("route")).agg(F.count(F.lit(1)).alias("n_variants"), F.collect_list(F.struct(route.alias("route_id"), F.col("sequence").alias("stop_ids"))).alias("variants"))
+
+
 @query("SC8_json_documents", "SELECT CAST(pattern_id AS VARCHAR) AS pattern_id, string_agg(stop_id, '|' ORDER BY trip_id, seq) AS stops FROM talk WHERE trip_id < 9 GROUP BY pattern_id")
 def _(spark, sf):
     """Documents written as JSON and read with a fixed schema."""
     path = Scratch(spark, "json").path("evidence")
     t = fx.talk(spark, sf).where("trip_id < 9")
     v = sequences.collected(t, ["trip_id", "pattern_id"], "seq", "stop_id")
-    docs = v.groupBy(F.lit("r").alias("route")).agg(F.count(F.lit(1)).alias("n_variants"), F.collect_list(F.struct(F.col("pattern_id").cast("string").alias("route_id"), F.col("sequence").alias("stop_ids"))).alias("variants"))
-    docs.write.json(path)
+    _evidence(v).write.json(path)
     found = spark.read.schema(loaders.EVIDENCE).json(path)
     return loaders.evidence_sequences(found).select("pattern_id", F.array_join("stop_ids", "|").alias("stops"))
 
