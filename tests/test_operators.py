@@ -1,5 +1,6 @@
 """Operators on small hand-made tables, and lifetimes against brute force."""
 
+import math
 import random
 
 import pytest
@@ -225,6 +226,35 @@ def test_radius_pairs_are_exact(spark):
     assert got == {(r["stop_id"], r["j"]) for r in want.collect()} and got
 
 
+def test_radius_pairs_at_poles_date_line_and_in_blocks(spark):
+    rng = random.Random(8)
+    pts = [(rng.choice((90.0, -90.0, 89.9999, 89.0, 60.0, 0.0)) + rng.uniform(-0.003, 0.0), rng.choice((180.0, -180.0, 179.999, -179.999, 12.0)) + rng.uniform(-0.002, 0.002)) for _ in range(220)]
+    rows = [(i, max(-90.0, y), x, "ab"[i % 2]) for i, (y, x) in enumerate(pts)]
+    df = spark.createDataFrame(rows, "stop_id int, lat double, lon double, name string")
+    far = lambda p, q: 2 * 6371008.8 * math.asin(min(1, math.sqrt(math.sin(math.radians(q[1] - p[1]) / 2) ** 2 + math.cos(math.radians(p[1])) * math.cos(math.radians(q[1])) * math.sin(math.radians(q[2] - p[2]) / 2) ** 2)))
+    want = {(p[0], q[0]) for p in rows for q in rows if p[0] < q[0] and far(p, q) <= 150.0}
+    assert {(r["a"], r["b"]) for r in joins.radius_pairs(df, 150.0, "stop_id").collect()} == want and len(want) > 300
+    inside = {(a, b) for a, b in want if (a - b) % 2 == 0}
+    assert {(r["a"], r["b"]) for r in joins.radius_pairs(df, 150.0, "stop_id", block="name").collect()} == inside
+
+
+def test_diameters_equal_all_pairs(spark):
+    rng = random.Random(9)
+    rows = [(i, f"p{i % 5}", 35 + rng.gauss(0, 0.001) * (i % 5), 129 + rng.gauss(0, 0.001)) for i in range(200)] + [(900, "one", 35.0, 129.0)]
+    df = spark.createDataFrame(rows, "stop_id int, place_id string, lat double, lon double")
+    want = {r["place_id"]: r["m"] for r in joins.block_pairs(df, "place_id", "stop_id").groupBy("place_id").agg(F.max("dist_m").alias("m")).collect()} | {"one": 0.0}
+    assert {r["place_id"]: r["span_m"] for r in places.diameters(df).collect()} == want
+
+
+def test_violations_by_reach_equal_those_by_frontiers(spark):
+    rng = random.Random(10)
+    pairs = {tuple(sorted(rng.sample(range(60), 2))) for _ in range(75)} | {(100 + i, 101 + i) for i in range(9)}
+    e = spark.createDataFrame([(f"{a:03}", f"{b:03}") for a, b in pairs], "place_a string, place_b string")
+    want = network.first_violations(e, 6).where("mask = 'masked_global'")
+    shown = lambda df: sorted((r["place_id"], r["dominance"], r["fails_at"]) for r in df.collect())
+    assert shown(network.global_violations(e, 6)) == shown(want) and want.where("fails_at > 2").count()
+
+
 def test_evidence_is_one_document_per_pattern(spark):
     from wayfare.plans.queries import _evidence
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -59,21 +58,35 @@ def nearest_in_block(rows: DataFrame, stops: DataFrame, row_id: str, name: str,
     return best.where(fits), best.where(~fits).select(row_id, reason.alias("reason"), "dist_m")
 
 
-def radius_pairs(points: DataFrame, radius_m: float, key: str, lat: str = "lat", lon: str = "lon", lat_limit: float = 85.0) -> DataFrame:
-    """All pairs a < b of points within a radius, by a grid: (a, b, dist_m).
+def radius_pairs(points: DataFrame, radius_m: float, key: str, lat: str = "lat", lon: str = "lon", block: str | None = None) -> DataFrame:
+    """All pairs a < b of points within a radius (with ``block``: of one block), by a grid: (a, b, dist_m).
 
-    Cells are as large as the radius at the highest latitude of the data, so a
-    partner is in one of nine cells: an equi-join on the cell, exact after the
-    distance test.
+    Rows of the grid are as high as the radius.  The columns of a row are as
+    wide as the radius is at the row's end nearest to a pole, seen from both of
+    its neighbours, and they close around the date line; a row that comes within
+    the radius of a pole is one column.  So a partner is in one of nine cells:
+    an equi-join on the cell, exact after the distance test.
     """
-    most = points.agg(F.max(F.abs(F.col(lat)))).first()[0]
-    step_lat = radius_m / geo.DEGREE_M * 1.000001
-    step_lon = step_lat / max(math.cos(math.radians(min(most or 0.0, lat_limit))), 1e-3)
-    p = points.select(F.col(key).alias("k"), F.col(lat).alias("y"), F.col(lon).alias("x"))
-    p = p.withColumn("cy", F.floor(F.col("y") / step_lat)).withColumn("cx", F.floor(F.col("x") / step_lon))
-    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    spread = p.withColumn("o", F.explode(around)).select(F.col("k").alias("b"), F.col("y").alias("yb"), F.col("x").alias("xb"), (F.col("cy") + F.col("o.i")).alias("cy"), (F.col("cx") + F.col("o.j")).alias("cx"))
-    pairs = p.join(spread, ["cy", "cx"]).where("k < b")
+    step = radius_m / geo.DEGREE_M * 1.000001
+    y, x = F.col(lat), F.col(lon)
+    row = F.floor(y / step)
+
+    def columns(r: Column) -> Column:
+        """Number of columns of a row: the radius, at its farthest latitude, spans at most one."""
+        far = F.greatest(F.abs(r), F.abs(r + 1)) * step + step
+        wide = F.degrees(2 * F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.lit(step / 2))) / F.cos(F.radians(F.least(far, F.lit(90.0)))))))
+        return F.when(far >= 90.0, F.lit(1.0)).otherwise(F.greatest(F.lit(1.0), F.floor(F.lit(360.0) / (wide * 1.000001))))
+
+    turn = F.pmod(x + 180.0, F.lit(360.0)) / 360.0
+    own = [F.col(block).alias("block")] if block else [F.lit(0).alias("block")]
+    p = points.select(*own, F.col(key).alias("k"), y.alias("y"), x.alias("x"), row.alias("cy"), turn.alias("turn"))
+    p = p.withColumn("n", columns(F.col("cy")))
+    p = p.withColumn("cx", F.pmod(F.floor(F.col("turn") * F.col("n")), F.col("n")).cast("long")).drop("n")
+    spread = p.withColumn("cy", F.explode(F.array(*[F.col("cy") + i for i in (-1, 0, 1)]))).withColumn("n", columns(F.col("cy")))
+    middle = F.floor(F.col("turn") * F.col("n"))
+    cells = F.array_distinct(F.array(*[F.pmod(middle + j, F.col("n")).cast("long") for j in (-1, 0, 1)]))
+    spread = spread.select("block", F.col("k").alias("b"), F.col("y").alias("yb"), F.col("x").alias("xb"), "cy", F.explode(cells).alias("cx"))
+    pairs = p.join(spread, ["block", "cy", "cx"]).where("k < b")
     return pairs.select(F.col("k").alias("a"), "b", geo.haversine(F.col("y"), F.col("x"), F.col("yb"), F.col("xb")).alias("dist_m")).where(F.col("dist_m") <= radius_m)
 
 

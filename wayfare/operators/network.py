@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -71,6 +71,43 @@ def arms(gaps: DataFrame, places: DataFrame, theta: Sequence[float]) -> DataFram
     return places.select("place_id").join(n, F.col("place_id") == F.col("p"), "left").select("place_id", *[F.coalesce(f"A_{t:g}", F.lit(0)).cast("int").alias(f"A_{t:g}") for t in theta])
 
 
+def global_violations(e: DataFrame, k_cap: int) -> DataFrame:
+    """:func:`first_violations` of the mask ``masked_global`` alone, in time linear in the edges.
+
+    Every place hands on, level by level, the largest degree within reach and
+    the smallest and largest place that has it; a place other than itself has
+    as large a degree as its own where the largest is larger, or is equal and
+    one of those two places is another.  Minima and maxima are aggregated
+    before the shuffle, neighbourhoods are never listed, and levels end when
+    nothing changes any more.
+    """
+    scratch = Scratch(e.sparkSession, "reach")
+    both = both_ways(e)
+    deg = both.groupBy("p").agg(F.count(F.lit(1)).cast("int").alias("d"))
+    # a place hears from itself too, and so keeps what it knows without another join
+    hears = scratch.put(both.unionByName(deg.select("p", F.col("p").alias("q"))), "hears")
+    none = F.lit(None).cast("int")
+    state = scratch.put(deg.select("p", F.struct("d", "p").alias("hi"), F.struct((-F.col("d")).alias("d"), F.col("p")).alias("lo"), F.struct("d", none.alias("weak"), none.alias("strict")).alias("own")), "level0")
+    for k in range(1, k_cap + 1):
+        said = hears.join(state.withColumnRenamed("p", "q"), "q")
+        mine = lambda c: F.max(F.when(F.col("p") == F.col("q"), F.col(c)))
+        heard = said.groupBy("p").agg(F.max("hi").alias("hi"), F.min("lo").alias("lo"), mine("own").alias("own"), mine("hi").alias("was_hi"), mine("lo").alias("was_lo"))
+        larger = F.col("hi.d") > F.col("own.d")
+        other = larger | ((F.col("hi.d") == F.col("own.d")) & ((F.col("hi.p") != F.col("p")) | (F.col("lo.p") != F.col("p"))))
+        first = lambda name, fails: F.coalesce(f"own.{name}", F.when(fails, F.lit(k))).alias(name)  # noqa: B023, E731
+        moved = (F.col("hi") != F.col("was_hi")) | (F.col("lo") != F.col("was_lo"))
+        now = heard.select("p", "hi", "lo", F.struct("own.d", first("weak", larger), first("strict", other)).alias("own"), moved.alias("moved"))
+        seen = Observation()
+        now = now.observe(seen, F.count_if("moved").alias("moved"), F.count_if(F.col("own.weak").isNull()).alias("open")).drop("moved")
+        state = scratch.put(now, f"level{k}")
+        scratch.drop(f"level{k - 1}")
+        if not seen.get["moved"] or not seen.get["open"]:
+            break
+    state = state.select("p", "own.weak", "own.strict")
+    found = [state.where(f"{name} is not null").select(F.col("p").alias("place_id"), F.lit(MASKS[0]).alias("mask"), F.lit(name).alias("dominance"), F.col(name).alias("fails_at")) for name in ("weak", "strict")]
+    return found[0].unionByName(found[1])
+
+
 def first_violations(e: DataFrame, k_cap: int) -> DataFrame:
     """Where dominance first fails: (place_id, mask, dominance, fails_at); places that never fail up to k_cap are absent.
 
@@ -200,12 +237,34 @@ def explain_isolated(m: DataFrame, patterns: DataFrame, pattern_stops: DataFrame
 
 
 def ranked(m: DataFrame) -> DataFrame:
-    """Metrics with rank columns by degree and by lifetime, largest first (a view beside the reference tables)."""
-    spread = lambda c: F.rank().over(Window.orderBy(F.desc(c)))
-    return m.withColumn("rank_degree", spread("D")).withColumn("rank_lifetime", spread("L"))
+    """Metrics with rank columns by degree and by lifetime, largest first (a view beside the reference tables).
+
+    Ranks come from the counts of the different values, which are few.
+    """
+    for column, name in (("D", "rank_degree"), ("L", "rank_lifetime")):
+        counts = m.groupBy(F.col(column).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+        before = F.sum("__n").over(Window.orderBy(F.desc("__v")).rowsBetween(Window.unboundedPreceding, -1))
+        ranks = counts.select("__v", (F.coalesce(before, F.lit(0)) + 1).cast("int").alias(name))
+        m = m.join(ranks, m[column].eqNullSafe(ranks["__v"]), "left").drop("__v")
+    return m
+
+
+def numbered(df: DataFrame, key: str, out: str = "idx", width: int = 6) -> DataFrame:
+    """Number rows by a text key from 0: inside groups of the first ``width`` characters, with the counts of the groups before.
+
+    Place ids are hashes behind a fixed prefix of three characters, so six
+    characters make 4,096 groups of about equal size.
+    """
+    group = F.substring(key, 1, width)
+    sizes = df.groupBy(group.alias("__g")).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__g").rowsBetween(Window.unboundedPreceding, -1))
+    first = sizes.select("__g", F.coalesce(before, F.lit(0)).alias("__first"))
+    rows = df.withColumn("__g", group).join(F.broadcast(first), "__g")
+    inside = F.row_number().over(Window.partitionBy("__g").orderBy(key)) - 1
+    return rows.withColumn(out, (F.col("__first") + inside).cast("int")).drop("__g", "__first")
 
 
 def map_view(places: DataFrame, m: DataFrame, q: DataFrame, gap: DataFrame) -> DataFrame:
     """One row per place with everything a map shows, numbered by place id."""
     v = places.join(m.drop("name_norm"), "place_id").join(q.select("place_id", "hub_class"), "place_id").join(gap.select("place_id", "reason"), "place_id", "left")
-    return v.withColumn("idx", F.row_number().over(Window.orderBy("place_id")) - 1)
+    return numbered(v, "place_id")

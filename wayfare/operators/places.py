@@ -26,7 +26,7 @@ def cluster(stops: DataFrame, linkage_m: float = 150.0, prefix: str = "PB") -> D
     Stops of one name within ``linkage_m`` are linked; a cluster's label is its
     smallest stop id.  ``stops`` has stop_id, name_norm, lat, lon.
     """
-    edges = joins.block_pairs(stops, "name_norm", "stop_id", linkage_m)
+    edges = joins.radius_pairs(stops, linkage_m, "stop_id", block="name_norm")
     linked = connected_components(edges).select(F.col("node").alias("stop_id"), F.col("component").alias("label"))
     out = stops.join(linked, "stop_id", "left").withColumn("label", F.coalesce("label", "stop_id"))
     return out.withColumn("place_id", names.place_id(prefix, F.col("name_norm"), F.col("label"))).select("stop_id", "name_norm", "label", "place_id", "lat", "lon", *([c for c in ("stop_name",) if c in stops.columns]))
@@ -39,20 +39,51 @@ def geometry(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     places = members.groupBy("place_id").agg(
         F.min(title).alias("place_name"),
         F.min(title).alias("name_norm"),
-        F.count(F.lit(1)).cast("smallint").alias("n_stops"),
-        F.countDistinct("name_norm").cast("smallint").alias("n_names"),
+        F.count(F.lit(1)).cast("int").alias("n_stops"),
+        F.countDistinct("name_norm").cast("int").alias("n_names"),
         F.round(F.avg("lat"), 6).alias("lat_centroid"),
         F.round(F.avg("lon"), 6).alias("lon_centroid"),
         merged.alias("is_override_merged"),
     )
-    span = joins.block_pairs(members, "place_id", "stop_id").groupBy("place_id").agg(F.max("dist_m").alias("span_m"))
-    places = places.join(span, "place_id", "left").withColumn("span_m", F.coalesce("span_m", F.lit(0.0)))
+    places = places.join(diameters(members), "place_id", "left").withColumn("span_m", F.coalesce("span_m", F.lit(0.0)))
     centre = places.select("place_id", "lat_centroid", "lon_centroid")
     d = geo.haversine(F.col("lat"), F.col("lon"), F.col("lat_centroid"), F.col("lon_centroid"))
     mapped = members.join(centre, "place_id").select("stop_id", "place_id", "name_norm", d.alias("dist_to_centroid_m"))
     return places.select("place_id", "place_name", "name_norm", "n_stops", "n_names", "lat_centroid", "lon_centroid", "span_m", "is_override_merged"), mapped
 
 
+def diameters(members: DataFrame) -> DataFrame:
+    """Largest distance between two stops of a place: (place_id, span_m), 0 for one stop.
+
+    The stop farthest from a first one, and the stop farthest from that, give a
+    lower bound b of the diameter.  With r the distance to the first stop and R
+    the largest r, both ends of the diameter have r >= b - R, so only these
+    stops meet each other: of a round place its rim, not its pairs.
+    """
+    at = lambda y, x: geo.haversine(F.col("lat"), F.col("lon"), F.col(y), F.col(x))
+    point = F.struct("lat", "lon")
+    first = members.groupBy("place_id").agg(F.min_by(point, F.struct("stop_id")).alias("o"), F.count(F.lit(1)).alias("n"))
+    near = members.join(first.where("n > 1").select("place_id", F.col("o.lat").alias("y0"), F.col("o.lon").alias("x0")), "place_id")
+    near = near.select("place_id", "stop_id", "lat", "lon", at("y0", "x0").alias("r"))
+    far = near.groupBy("place_id").agg(F.max("r").alias("most"), F.max_by(point, F.struct("r", "stop_id")).alias("f"))
+    near = near.join(far.select("place_id", "most", F.col("f.lat").alias("y1"), F.col("f.lon").alias("x1")), "place_id").withColumn("d", at("y1", "x1"))
+    bound = near.groupBy("place_id").agg(F.max("d").alias("bound"))
+    ends = near.join(bound, "place_id").where(F.col("r") >= F.col("bound") - F.col("most") - 1e-3)
+    span = joins.block_pairs(ends, "place_id", "stop_id").groupBy("place_id").agg(F.max("dist_m").alias("span_m"))
+    return first.select("place_id").join(span, "place_id", "left").select("place_id", F.coalesce("span_m", F.lit(0.0)).alias("span_m"))
+
+
+def validity(members: DataFrame, linkage_m: float = 150.0) -> DataFrame:
+    """One row (n_places, n_split, n_too_close): places that are not connected by themselves, and pairs of places of one name within the limit."""
+    again = cluster(members.select("stop_id", F.col("place_id").alias("name_norm"), "lat", "lon"), linkage_m)
+    split = again.groupBy("name_norm").agg(F.min("label").alias("a"), F.max("label").alias("b")).agg(F.count(F.lit(1)).alias("n_places"), F.count_if(F.col("a") != F.col("b")).alias("n_split"))
+    owner = members.select("stop_id", "place_id")
+    near = joins.radius_pairs(members, linkage_m, "stop_id", block="name_norm")
+    near = near.join(owner.withColumnsRenamed({"stop_id": "a", "place_id": "pa"}), "a").join(owner.withColumnsRenamed({"stop_id": "b", "place_id": "pb"}), "b")
+    close = near.where("pa <> pb").select(F.least("pa", "pb").alias("x"), F.greatest("pa", "pb").alias("y")).distinct().agg(F.count(F.lit(1)).alias("n_too_close"))
+    return split.crossJoin(F.broadcast(close))
+
+
 def _gaps(members: DataFrame, pairs: DataFrame) -> DataFrame:
     """Smallest distance between members of two places: (place_a, place_b, gap_m)."""
     a = members.select(F.col("place_id").alias("place_a"), F.col("lat").alias("ya"), F.col("lon").alias("xa"))

@@ -42,16 +42,25 @@ def geometry(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def route_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every 37th order is a route whose lines are its stops in an order that is total."""
-    lines = table(spark, sf_dir, "lineitem").where("l_orderkey % 37 = 0")
+    """Every order is a pattern, its lines in a total order are its stops; 128 orders are a route and follow one path of names."""
+    n_names = table(spark, sf_dir, "part").agg(F.floor(F.count(F.lit(1)) / 4).alias("n_names"))
+    lines = table(spark, sf_dir, "lineitem")
     seq = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
-    return lines.select(F.col("l_orderkey").cast("string").alias("route"), F.concat(F.lit("P"), "l_orderkey").alias("pattern_id"), seq.alias("seq"), F.col("l_partkey").alias("stop_id"))
+    rows = lines.select(F.expr("l_orderkey div 128").alias("r"), "l_orderkey", "l_partkey", seq.alias("seq")).crossJoin(F.broadcast(n_names))
+    name = F.expr("(r * 1013 + seq * seq * (1 + r % 5) * 7) % n_names")
+    return rows.select(
+        F.col("r").cast("string").alias("route"),
+        F.concat(F.lit("P"), "l_orderkey").alias("pattern_id"),
+        "seq",
+        (name * 4 + F.col("l_partkey") % 4).alias("stop_id"),
+    )
 
 
 def graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(places, stop map, edges)."""
     scratch = Scratch(spark, "graph")
-    p, m = (scratch.put(df, name) for df, name in zip(geometry(spark, sf_dir), ("places", "map"), strict=True))
+    found = places.geometry(scratch.put(members(spark, sf_dir), "members"))
+    p, m = (scratch.put(df, name) for df, name in zip(found, ("places", "map"), strict=True))
     return p, m, scratch.put(network.edges(network.place_steps(route_stops(spark, sf_dir), m, strict=False), p), "edges")
 
 
@@ -113,10 +122,15 @@ CTES = {
     "walk": "SELECT stop_id AS u, stop_id AS v FROM stops UNION SELECT w.u, n.v FROM walk w JOIN near n ON n.u = w.v",
     "members": """SELECT s.stop_id, s.stop_name AS name_norm, l.label, 'PB_' || substr(sha1(s.stop_name || '|' || l.label), 1, 8) AS place_id, s.lat, s.lon
   FROM stops s JOIN (SELECT u, min(v) AS label FROM walk GROUP BY u) l ON l.u = s.stop_id""",
+    "injured": """SELECT stop_id, name_norm, CASE CAST(substr(name_norm, 2) AS BIGINT) % 6 WHEN 0 THEN name_norm WHEN 1 THEN place_id || stop_id % 2 ELSE place_id END AS place_id, lat, lon FROM members""",
+    "injured_walk": """SELECT stop_id AS u, stop_id AS v FROM injured UNION SELECT w.u, n.v FROM injured_walk w JOIN near n ON n.u = w.v
+  JOIN injured a ON a.stop_id = n.u JOIN injured b ON b.stop_id = n.v WHERE a.place_id = b.place_id""",
     "places": f"""SELECT m.place_id, min(name_norm) AS name_norm, count(*) AS n_stops, round(avg(lat), 6) AS lat_centroid, round(avg(lon), 6) AS lon_centroid,
   coalesce(any_value(span), 0) AS span_m FROM members m LEFT JOIN (SELECT a.place_id, max({_H}) AS span FROM members a JOIN members b ON a.place_id = b.place_id AND a.stop_id < b.stop_id GROUP BY a.place_id) s ON s.place_id = m.place_id GROUP BY m.place_id""",
-    "route_stops": """SELECT CAST(l_orderkey AS VARCHAR) AS route, 'P' || l_orderkey AS pattern_id,
-  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS seq, l_partkey AS stop_id FROM lineitem WHERE l_orderkey % 37 = 0""",
+    "route_stops": """SELECT CAST(r AS VARCHAR) AS route, 'P' || l_orderkey AS pattern_id, seq,
+  (r * 1013 + seq * seq * (1 + r % 5) * 7) % (SELECT count(*) // 4 FROM part) * 4 + l_partkey % 4 AS stop_id
+  FROM (SELECT l_orderkey // 128 AS r, l_orderkey, l_partkey,
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS seq FROM lineitem)""",
     "visits": "SELECT r.*, m.place_id, lag(m.place_id) OVER (PARTITION BY route, pattern_id ORDER BY seq) AS before FROM route_stops r JOIN members m USING (stop_id)",
     "steps": """SELECT route, pattern_id, seq, from_place, to_place FROM (SELECT route, pattern_id, seq, place_id AS from_place, lead(place_id) OVER (PARTITION BY route, pattern_id ORDER BY seq) AS to_place
   FROM visits WHERE before IS NULL OR before <> place_id) WHERE to_place IS NOT NULL""",
@@ -128,7 +142,9 @@ CTES = {
     "turns": f"""SELECT a.p, {bearing_sql("x.lat_centroid", "x.lon_centroid", "y.lat_centroid", "y.lon_centroid")} AS bearing, a.q FROM adj a JOIN places x ON x.place_id = a.p JOIN places y ON y.place_id = a.q""",
     "gaps": "SELECT p, bearing, coalesce(lead(bearing) OVER w, first_value(bearing) OVER w + 360) - bearing AS gap FROM turns WINDOW w AS (PARTITION BY p ORDER BY bearing, q)",
     "arms": "SELECT place_id, coalesce(a30, 0) AS a30, coalesce(a45, 0) AS a45, coalesce(a60, 0) AS a60 FROM places LEFT JOIN (SELECT p, greatest(1, count(*) FILTER (gap >= 30)) AS a30, greatest(1, count(*) FILTER (gap >= 45)) AS a45, greatest(1, count(*) FILTER (gap >= 60)) AS a60 FROM gaps GROUP BY p) g ON g.p = place_id",
-    "reach": "SELECT p, p AS v, 0 AS k FROM (SELECT DISTINCT p FROM adj) UNION SELECT r.p, a.q, r.k + 1 FROM reach r JOIN adj a ON a.p = r.v WHERE r.k < 15",
+    "reach": """SELECT p, p AS v, 0 AS k, d AS dp, d AS dv FROM (SELECT DISTINCT p FROM adj) JOIN deg ON place_id = p
+  UNION SELECT r.p, a.q, r.k + 1, r.dp, y.d FROM reach r JOIN adj a ON a.p = r.v JOIN deg y ON y.place_id = a.q
+  WHERE r.k < 15 AND r.p NOT IN (SELECT x.p FROM reach x WHERE x.dv > x.dp)""",
     "dist": "SELECT p, v, min(k) AS k FROM reach GROUP BY p, v",
     "inner_deg": "SELECT d.p, d.v, count(*) AS n FROM dist d JOIN adj a ON a.p = d.v JOIN dist e ON e.p = d.p AND e.v = a.q AND e.k <= d.k GROUP BY d.p, d.v",
     "fails": """SELECT p, mask, dominance, min(f) AS fails_at FROM (

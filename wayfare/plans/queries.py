@@ -72,16 +72,17 @@ def _(spark, sf):
 
 def _raw_schedule(spark, sf) -> DataFrame:
     r = fx.route_stops(spark, sf).withColumn("t", F.lit(21600) + F.col("seq") * 130)
-    rid = F.concat(F.lit("BR_ACC0_"), F.lpad("route", 8, "0"))
+    order = F.substring("pattern_id", 2, 20)
+    rid = F.concat(F.lit("BR_ACC0_"), F.lpad(order, 8, "0"))
     clock = lambda t: F.concat((t / 3600).cast("int").cast("string"), F.lit(":"), F.lpad(((t % 3600) / 60).cast("int").cast("string"), 2, "0"), F.lit(":"), F.lpad((t % 60).cast("string"), 2, "0"))
-    rows = r.select(F.concat(F.lit("R"), "route").alias("route_name"), F.concat(F.lit("S"), "stop_id").alias("stop_name"), F.col("seq").cast("string").alias("stop_sequence"), clock(F.col("t")).alias("arrival_time"), clock(F.col("t") + 20).alias("departure_time"), rid.alias("route_id"), F.concat(rid, F.lit("_Ord001")).alias("trip_id"), F.concat(F.lit("BS_ACC0_"), F.lpad(F.col("stop_id").cast("string"), 8, "0")).alias("stop_id"))
+    rows = r.select(F.concat(F.lit("R"), order).alias("route_name"), F.concat(F.lit("S"), "stop_id").alias("stop_name"), F.col("seq").cast("string").alias("stop_sequence"), clock(F.col("t")).alias("arrival_time"), clock(F.col("t") + 20).alias("departure_time"), rid.alias("route_id"), F.concat(rid, F.lit("_Ord001")).alias("trip_id"), F.concat(F.lit("BS_ACC0_"), F.lpad(F.col("stop_id").cast("string"), 8, "0")).alias("stop_id"))
     empty = spark.range(3).select(*[F.lit(None).cast("string").alias(c) for c in rows.columns])
     return rows.unionByName(empty)
 
 
 @query(
     "SC3_schedule_loader",
-    """SELECT 'BR_ACC0_' || lpad(route, 8, '0') || '_Ord001' AS trip_id, 'BR_ACC0_' || lpad(route, 8, '0') AS pattern_id, 'R' || route AS route_name, 'BS_ACC0_' || lpad(CAST(stop_id AS VARCHAR), 8, '0') AS stop_id,
+    """SELECT 'BR_ACC0_' || lpad(substr(pattern_id, 2), 8, '0') || '_Ord001' AS trip_id, 'BR_ACC0_' || lpad(substr(pattern_id, 2), 8, '0') AS pattern_id, 'R' || substr(pattern_id, 2) AS route_name, 'BS_ACC0_' || lpad(CAST(stop_id AS VARCHAR), 8, '0') AS stop_id,
   CAST(seq AS BIGINT) AS seq, CAST(21600 + seq * 130 AS BIGINT) AS arr_s, CAST(21620 + seq * 130 AS BIGINT) AS dep_s, 'ACC0' AS lineage FROM route_stops""",
 )
 def _(spark, sf):
@@ -96,13 +97,13 @@ def stop_times(raw: DataFrame) -> DataFrame:
 def _raw_route_list(spark, sf) -> DataFrame:
     r = fx.route_stops(spark, sf).join(fx.stops(spark, sf), "stop_id")
     clock = lambda h: F.concat(F.lit(f"{h}시 "), F.pmod(F.col("seq"), F.lit(60)).cast("string"), F.lit("분 5초"))
-    texts = [F.concat(F.lit("R"), "route"), F.col("seq").cast("string"), F.col("seq").cast("string"), F.col("stop_name"), F.col("lat").cast("string"), F.col("lon").cast("string"), F.lit(None).cast("string"), F.concat_ws("|", clock(6), clock(7)), F.concat_ws("|", clock(6), clock(7)), F.lit("2")]
+    texts = [F.concat(F.lit("R"), F.substring("pattern_id", 2, 20)), F.col("seq").cast("string"), F.col("seq").cast("string"), F.col("stop_name"), F.col("lat").cast("string"), F.col("lon").cast("string"), F.lit(None).cast("string"), F.concat_ws("|", clock(6), clock(7)), F.concat_ws("|", clock(6), clock(7)), F.lit("2")]
     return r.select(*[t.alias(c) for t, c in zip(texts, loaders.COLUMNS["routes_planned"], strict=True)])
 
 
 @query(
     "SC4_route_list_loader",
-    "SELECT 'R' || route AS route_name, CAST(seq AS BIGINT) AS seq, stop_name, (21600 + (seq % 60) * 60 + 5) || '|' || (25200 + (seq % 60) * 60 + 5) AS arrivals, CAST(2 AS BIGINT) AS n FROM route_stops JOIN stops USING (stop_id)",
+    "SELECT 'R' || substr(pattern_id, 2) AS route_name, CAST(seq AS BIGINT) AS seq, stop_name, (21600 + (seq % 60) * 60 + 5) || '|' || (25200 + (seq % 60) * 60 + 5) AS arrivals, CAST(2 AS BIGINT) AS n FROM route_stops JOIN stops USING (stop_id)",
 )
 def _(spark, sf):
     """Route list with spelled-out times (F4, F6, F20)."""
@@ -143,7 +144,7 @@ def _(spark, sf):
 
 @query(
     "SC6_route_aggregate_loader",
-    """SELECT route AS pattern_id, CAST(seq AS BIGINT) AS seq, CASE WHEN seq % 3 = 0 THEN CAST(18000 + seq % 60 AS VARCHAR) ELSE (86400 + 3600 + seq % 60) || '|' || (36000 + seq % 60) END AS arr_list, true AS derived_from_schedule FROM route_stops""",
+    """SELECT substr(pattern_id, 2) AS pattern_id, CAST(seq AS BIGINT) AS seq, CASE WHEN seq % 3 = 0 THEN CAST(18000 + seq % 60 AS VARCHAR) ELSE (86400 + 3600 + seq % 60) || '|' || (36000 + seq % 60) END AS arr_list, true AS derived_from_schedule FROM route_stops""",
 )
 def _(spark, sf):
     """Aggregate with two time formats; times before 4 o'clock are of the next morning (F5, F6)."""
@@ -151,7 +152,8 @@ def _(spark, sf):
     s = F.pmod(F.col("seq"), F.lit(60))
     single = F.col("seq") % 3 == 0
     listed = F.when(single, F.concat(F.lit("5시 0분 "), s.cast("string"), F.lit("초"))).otherwise(F.concat(F.lit("01:00:"), F.lpad(s.cast("string"), 2, "0"), F.lit("|10:00:"), F.lpad(s.cast("string"), 2, "0")))
-    values = [F.col("route"), F.concat(F.lit("R"), "route"), F.col("seq").cast("string"), F.col("stop_name"), F.col("lat").cast("string"), F.col("lon").cast("string"), F.lit("z"), F.lit("d"), listed, F.col("stop_id").cast("string"), F.when(single, "1").otherwise("2")]
+    order = F.substring("pattern_id", 2, 20)
+    values = [order, F.concat(F.lit("R"), order), F.col("seq").cast("string"), F.col("stop_name"), F.col("lat").cast("string"), F.col("lon").cast("string"), F.lit("z"), F.lit("d"), listed, F.col("stop_id").cast("string"), F.when(single, "1").otherwise("2")]
     raw = r.select(*[v.alias(c) for v, c in zip(values, loaders.COLUMNS["routes_actual"], strict=True)])
     df = loaders.load_routes_actual(raw, box=_WIDE)
     seconds = times.time_list(F.col("도착시간들"), times.clock_token, wrap_below=4 * 3600)
@@ -159,7 +161,7 @@ def _(spark, sf):
 
 
 def _raw_tags(spark, sf) -> DataFrame:
-    t = fx.tagged(spark, sf)[1].where("pattern_id < 400")
+    t = fx.tagged(spark, sf)[1]
     rid = lambda c: F.concat(F.lit("BR_ACC0_"), F.lpad(F.col(c).cast("string"), 8, "0"))
     agent = F.col("pattern_id") % 2 == 0
     flag = lambda c: F.when(c, "True").otherwise("False")
@@ -169,7 +171,7 @@ def _raw_tags(spark, sf) -> DataFrame:
 
 @query(
     "SC7_tag_csv_scan",
-    "SELECT 'BR_ACC0_' || lpad(CAST(pattern_id AS VARCHAR), 8, '0') AS pattern_id, role, 'BR_ACC0_' || lpad(CAST(base_id AS VARCHAR), 8, '0') AS base_id, is_loop, pattern_id % 2 = 0 AS verified FROM tags WHERE pattern_id < 400",
+    "SELECT 'BR_ACC0_' || lpad(CAST(pattern_id AS VARCHAR), 8, '0') AS pattern_id, role, 'BR_ACC0_' || lpad(CAST(base_id AS VARCHAR), 8, '0') AS base_id, is_loop, pattern_id % 2 = 0 AS verified FROM tags",
 )
 def _(spark, sf):
     """Tags written as CSV with a byte order mark and read back (SK2, PF12)."""
@@ -184,13 +186,12 @@ def _evidence(v) -> DataFrame:
     return v.groupBy(route.alias("route")).agg(F.count(F.lit(1)).alias("n_variants"), F.collect_list(F.struct(route.alias("route_id"), F.col("sequence").alias("stop_ids"))).alias("variants"))
 
 
-@query("SC8_json_documents", "SELECT CAST(pattern_id AS VARCHAR) AS pattern_id, string_agg(stop_id, '|' ORDER BY trip_id, seq) AS stops FROM talk WHERE trip_id < 9 GROUP BY pattern_id")
+@query("SC8_json_documents", "SELECT CAST(trip_id AS VARCHAR) AS pattern_id, string_agg(stop_id, '|' ORDER BY seq) AS stops FROM talk GROUP BY trip_id")
 def _(spark, sf):
-    """Documents written as JSON and read with a fixed schema."""
+    """Documents, one for each trip as a pattern of its own, written as JSON and read with a fixed schema."""
     path = Scratch(spark, "json").path("evidence")
-    t = fx.talk(spark, sf).where("trip_id < 9")
-    v = sequences.collected(t, ["trip_id", "pattern_id"], "seq", "stop_id")
-    _evidence(v).write.json(path)
+    v = sequences.collected(fx.talk(spark, sf), ["trip_id"], "seq", "stop_id")
+    _evidence(v.withColumnRenamed("trip_id", "pattern_id")).write.json(path)
     found = spark.read.schema(loaders.EVIDENCE).json(path)
     return loaders.evidence_sequences(found).select("pattern_id", F.array_join("stop_ids", "|").alias("stops"))
 
@@ -236,7 +237,7 @@ def _(spark, sf):
 # ---- 2.2 projections, filters, predicates
 
 
-@query("PF4_membership_flag", "SELECT stop_id, stop_id IN (SELECT l_partkey FROM lineitem WHERE l_orderkey % 37 = 0) AS in_schedule FROM stops")
+@query("PF4_membership_flag", "SELECT stop_id, stop_id IN (SELECT stop_id FROM route_stops) AS in_schedule FROM stops")
 def _(spark, sf):
     return canonical.membership(fx.stops(spark, sf), fx.route_stops(spark, sf)).select("stop_id", "in_schedule")
 
@@ -286,7 +287,8 @@ def _metrics(spark, p: DataFrame, e: DataFrame) -> DataFrame:
     h = config.load()["hubs"]
     d = network.degree(e, p)
     a = network.arms(network.bearings(e, p), p, [h["arm_degrees"]]).withColumnRenamed(f"A_{h['arm_degrees']:g}", "A")
-    life = network.lifetimes(network.first_violations(e, h["k_max"]), d, h["mask"], h["dominance"], h["k_max"])
+    broken = network.global_violations if h["mask"] == "masked_global" else network.first_violations
+    life = network.lifetimes(broken(e, h["k_max"]), d, h["mask"], h["dominance"], h["k_max"])
     return network.metrics(d, a, life, p, h["gate_degree"])
 
 
@@ -341,9 +343,10 @@ def _(spark, sf):
     return fx.table(spark, sf, "customer").join(big, "c_custkey", "left_semi").select("c_custkey")
 
 
-@query("J6_anti_join", "SELECT DISTINCT c_custkey AS key FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("J6_anti_join", "SELECT DISTINCT c_custkey AS key FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
 def _(spark, sf):
-    return joins.dangling(fx.table(spark, sf, "customer"), "c_custkey", fx.table(spark, sf, "orders"), "o_custkey")
+    """Customers without a large order."""
+    return joins.dangling(fx.table(spark, sf, "customer"), "c_custkey", fx.table(spark, sf, "orders").where("o_totalprice > 300000"), "o_custkey")
 
 
 @query(
@@ -505,14 +508,14 @@ def _(spark, sf):
 
 
 def _proposal(spark, sf) -> DataFrame:
-    o = fx.table(spark, sf, "orders").where("o_orderkey < 9000")
+    o = fx.table(spark, sf, "orders")
     p = o.selectExpr("CAST(o_orderkey AS STRING) AS pattern_id", "concat('R', o_orderkey div 7) AS route_name", "1 + o_custkey % 4 AS n_trips").withColumn("variant_code", names.variant_code(F.col("pattern_id")))
     return canonical.main_proposal(p)
 
 
 @query(
     "AG14_main_proposal",
-    """WITH p AS (SELECT CAST(o_orderkey AS VARCHAR) AS pid, 'R' || o_orderkey // 7 AS route_name, 1 + o_custkey % 4 AS n, o_orderkey % 10 AS vc FROM orders WHERE o_orderkey < 9000),
+    """WITH p AS (SELECT CAST(o_orderkey AS VARCHAR) AS pid, 'R' || o_orderkey // 7 AS route_name, 1 + o_custkey % 4 AS n, o_orderkey % 10 AS vc FROM orders),
 t AS (SELECT *, n = max(n) OVER (PARTITION BY route_name) AS top FROM p),
 g AS (SELECT route_name, count(*) AS n_patterns, count(*) FILTER (vc = 0) AS nz, min(pid) FILTER (vc = 0) AS z, max(n) FILTER (vc = 0) AS zn, string_agg(pid, '|' ORDER BY pid) FILTER (top) AS tops, count(*) FILTER (top) AS nt, max(n) AS mx FROM t GROUP BY 1),
 b AS (SELECT *, CASE WHEN nz = 0 THEN 'vc0_missing' WHEN nz > 1 THEN 'vc0_multiple' WHEN nt > 1 THEN 'tie' WHEN tops = z THEN 'both' ELSE 'disagree' END AS basis FROM g)
@@ -563,9 +566,11 @@ def _(spark, sf):
     return g.groupBy(c.alias("c")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("AG20_name_counts", "SELECT CASE WHEN n >= 3 THEN '3+' ELSE CAST(n AS VARCHAR) END AS stops, count(*) AS n_names FROM (SELECT stop_name, count(*) AS n FROM stops WHERE stop_id % 3 > 0 OR stop_id % 7 = 0 GROUP BY 1) GROUP BY 1")
+@query("AG20_name_counts", "SELECT CASE WHEN n >= 3 THEN '3+' ELSE CAST(n AS VARCHAR) END AS stops, count(*) AS n_names FROM (SELECT stop_name, count(DISTINCT stop_id) AS n FROM route_stops JOIN stops USING (stop_id) GROUP BY 1) GROUP BY 1")
 def _(spark, sf):
-    g = fx.stops(spark, sf).where("stop_id % 3 > 0 OR stop_id % 7 = 0").groupBy("stop_name").agg(F.count(F.lit(1)).alias("n"))
+    """Names by the number of their stops that a pattern serves."""
+    served = fx.route_stops(spark, sf).select("stop_id").distinct()
+    g = fx.stops(spark, sf).join(served, "stop_id", "left_semi").groupBy("stop_name").agg(F.count(F.lit(1)).alias("n"))
     return g.groupBy(F.when(F.col("n") >= 3, "3+").otherwise(F.col("n").cast("string")).alias("stops")).agg(F.count(F.lit(1)).alias("n_names"))
 
 
@@ -612,11 +617,11 @@ def _(spark, sf):
     return sequences.dense_position(fx.log(spark, sf), ["vehicle_id"], ["arr_ts", "master_seq"]).select("vehicle_id", "arr_ts", "position")
 
 
-@query("W7_collapse_repeats", "SELECT route, CAST(seq AS BIGINT) AS seq, place_id FROM visits WHERE before IS NULL OR before <> place_id")
+@query("W7_collapse_repeats", "SELECT pattern_id, CAST(seq AS BIGINT) AS seq, place_id FROM visits WHERE before IS NULL OR before <> place_id")
 def _(spark, sf):
     _, m = fx.geometry(spark, sf)
     rows = fx.route_stops(spark, sf).join(m, "stop_id")
-    return sequences.collapsed(rows, ["route", "pattern_id"], ["seq"], "place_id").select("route", "seq", "place_id")
+    return sequences.collapsed(rows, ["route", "pattern_id"], ["seq"], "place_id").select("pattern_id", "seq", "place_id")
 
 
 @query("W8_circular_gaps", "SELECT p, round(bearing, 3) AS bearing, round(gap, 3) AS gap FROM gaps")
@@ -625,9 +630,17 @@ def _(spark, sf):
     return network.bearings(e, p).withColumns(_mm("bearing", "gap"))
 
 
-@query("W9_block_contiguity", "SELECT count(*) FILTER (o_orderkey BETWEEN 10 AND 19) AS all_null, CAST(0 AS BIGINT) AS partial_null, true AS contiguous FROM orders")
+@query(
+    "W9_block_contiguity",
+    """SELECT count(*) FILTER (x IS NULL AND y IS NULL) AS all_null, count(*) FILTER ((x IS NULL) <> (y IS NULL)) AS partial_null,
+  max(r) FILTER (x IS NULL AND y IS NULL) - min(r) FILTER (x IS NULL AND y IS NULL) + 1 = count(*) FILTER (x IS NULL AND y IS NULL) AS contiguous
+  FROM (SELECT row_number() OVER (ORDER BY o_orderkey) AS r, CASE WHEN o_orderkey NOT BETWEEN 10 AND 19 THEN o_custkey END AS x,
+    CASE WHEN o_orderkey NOT BETWEEN 10 AND 19 THEN o_orderstatus END AS y FROM orders)""",
+)
 def _(spark, sf):
-    o = fx.table(spark, sf, "orders").select("o_orderkey", F.when(~F.col("o_orderkey").between(10, 19), F.col("o_custkey")).alias("x"), F.when(~F.col("o_orderkey").between(10, 19), F.col("o_orderstatus")).alias("y"))
+    """Null rows of a file: how many, and whether they are one block in file order."""
+    inside = F.col("o_orderkey").between(10, 19)
+    o = fx.table(spark, sf, "orders").select("o_orderkey", F.when(~inside, F.col("o_custkey")).alias("x"), F.when(~inside, F.col("o_orderstatus")).alias("y"))
     path = Scratch(spark, "block").path("t")
     o.coalesce(1).sortWithinPartitions("o_orderkey").select("x", "y").write.parquet(path)
     df = spark.read.parquet(path).select("x", "y", F.col("_metadata.row_index").alias("r"))
@@ -647,9 +660,9 @@ def _(spark, sf):
     return n.join(last, n["n_regionkey"] == last["r"]).where("n_nationkey < last").select(F.col("n_nationkey").alias("row_no"))
 
 
-@query("W12_adjacent_distance", f"SELECT r.route, CAST(r.seq AS BIGINT) AS seq, round({haversine_sql('a.lat', 'a.lon', 'b.lat', 'b.lon')}, 3) AS dist_m FROM (SELECT *, lead(stop_id) OVER (PARTITION BY pattern_id ORDER BY seq) AS nxt FROM route_stops) r JOIN stops a ON a.stop_id = r.stop_id JOIN stops b ON b.stop_id = r.nxt")
+@query("W12_adjacent_distance", f"SELECT r.pattern_id, CAST(r.seq AS BIGINT) AS seq, round({haversine_sql('a.lat', 'a.lon', 'b.lat', 'b.lon')}, 3) AS dist_m FROM (SELECT *, lead(stop_id) OVER (PARTITION BY pattern_id ORDER BY seq) AS nxt FROM route_stops) r JOIN stops a ON a.stop_id = r.stop_id JOIN stops b ON b.stop_id = r.nxt")
 def _(spark, sf):
-    return adjacent_distances(fx.route_stops(spark, sf), fx.stops(spark, sf)).select("route", "seq", F.round("dist_m", 3).alias("dist_m"))
+    return adjacent_distances(fx.route_stops(spark, sf), fx.stops(spark, sf)).select("pattern_id", "seq", F.round("dist_m", 3).alias("dist_m"))
 
 
 def adjacent_distances(pattern_stops: DataFrame, stops: DataFrame) -> DataFrame:
@@ -691,9 +704,9 @@ def _(spark, sf):
     return fx.table(spark, sf, "events").select("event_type").distinct()
 
 
-@query("SE3_difference", "SELECT p_partkey AS k FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 25")
+@query("SE3_difference", "SELECT p_partkey AS k FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 49")
 def _(spark, sf):
-    return fx.table(spark, sf, "part").select(F.col("p_partkey").alias("k")).subtract(fx.table(spark, sf, "lineitem").where("l_quantity > 25").select("l_partkey"))
+    return fx.table(spark, sf, "part").select(F.col("p_partkey").alias("k")).subtract(fx.table(spark, sf, "lineitem").where("l_quantity > 49").select("l_partkey"))
 
 
 @query("SE4_symmetric_difference", "SELECT coalesce(a.k, b.k) AS k, a.k IS NULL AS only_b FROM (SELECT DISTINCT o_custkey AS k FROM orders) a FULL JOIN (SELECT c_custkey AS k FROM customer WHERE c_custkey % 2 = 0) b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL")
@@ -863,14 +876,17 @@ def _(spark, sf):
 @query(
     "G8_isolated_reasons",
     """SELECT m.place_id, m.name_norm, CASE WHEN count(DISTINCT c) = 0 THEN 'no_pattern' WHEN count(DISTINCT c) = 1 THEN min(c) || '_only' ELSE 'mixed_nonbackbone' END AS reason, coalesce(string_agg(DISTINCT x.route, '|' ORDER BY x.route), '') AS routes_serving
-  FROM (SELECT place_id, name_norm FROM metrics WHERE D = 0) m LEFT JOIN (SELECT b.place_id, 'X' || o.l_orderkey % 50 AS route, CASE WHEN o.l_orderkey % 50 >= 40 THEN 'out_of_universe' WHEN o.l_orderkey % 3 = 0 THEN 'uncovered_circular' ELSE 'non_backbone_variant' END AS c
-  FROM lineitem o JOIN members b ON b.stop_id = o.l_partkey WHERE o.l_orderkey % 36 = 1) x ON x.place_id = m.place_id GROUP BY m.place_id, m.name_norm""",
+  FROM (SELECT place_id, name_norm FROM metrics WHERE D = 0) m LEFT JOIN (SELECT b.place_id, 'X' || l_orderkey % 50 AS route,
+    CASE WHEN l_orderkey % 50 >= 40 THEN 'out_of_universe' WHEN l_orderkey % 3 = 0 THEN 'uncovered_circular' ELSE 'non_backbone_variant' END AS c
+  FROM lineitem JOIN members b ON b.stop_id = l_partkey WHERE l_quantity >= 49) x ON x.place_id = m.place_id GROUP BY m.place_id, m.name_norm""",
 )
 def _(spark, sf):
+    """Places without an edge; the lines of the largest quantities are the patterns beside the backbone."""
     p, m, e = fx.graph(spark, sf)
-    lines = fx.table(spark, sf, "lineitem").where("l_orderkey % 36 = 1").select(F.col("l_orderkey").alias("pattern_id"), F.col("l_partkey").alias("stop_id"))
+    lines = fx.table(spark, sf, "lineitem").where("l_quantity >= 49").select(F.col("l_orderkey").alias("pattern_id"), F.col("l_partkey").alias("stop_id"))
     k = F.col("pattern_id")
-    patterns = lines.select("pattern_id").distinct().select("pattern_id", F.concat(F.lit("X"), (k % 50).cast("string")).alias("route"), F.when(k % 3 == 0, "circular").otherwise("branch").alias("role"), F.lit(False).alias("in_backbone"))
+    route = F.concat(F.lit("X"), (k % 50).cast("string"))
+    patterns = lines.select("pattern_id").distinct().select("pattern_id", route.alias("route"), F.when(k % 3 == 0, "circular").otherwise("branch").alias("role"), F.lit(False).alias("in_backbone"))
     inside = patterns.where(F.col("pattern_id") % 50 < 40).select("route").distinct()
     alone = network.degree(e, p).join(p.select("place_id", "name_norm"), "place_id")
     return network.explain_isolated(alone, patterns, lines, m, inside)
@@ -881,14 +897,28 @@ def _(spark, sf):
     return fx.members(spark, sf).select("stop_id", "label", "place_id")
 
 
-@query("G10_cluster_validity", "SELECT count(DISTINCT place_id) AS n_places, CAST(0 AS BIGINT) AS n_split, CAST(0 AS BIGINT) AS n_too_close FROM members")
+_HERE = haversine_sql("a.lat", "a.lon", "b.lat", "b.lon")
+
+
+@query(
+    "G10_cluster_validity",
+    f"""SELECT count(DISTINCT place_id) AS n_places, count(DISTINCT place_id) FILTER (label <> least_label) AS n_split, any_value(n_close) AS n_too_close
+  FROM (SELECT i.place_id, l.label, min(l.label) OVER (PARTITION BY i.place_id) AS least_label FROM injured i
+    JOIN (SELECT u, min(v) AS label FROM injured_walk GROUP BY u) l ON l.u = i.stop_id)
+  CROSS JOIN (SELECT count(*) AS n_close FROM (SELECT a.place_id, b.place_id FROM injured a JOIN injured b ON a.name_norm = b.name_norm AND a.place_id < b.place_id
+    GROUP BY 1, 2 HAVING min({_HERE}) <= 150))""",
+)
 def _(spark, sf):
-    """Every place is connected by itself, and places of one name are farther apart than the limit."""
+    """Places that fall apart and places of one name that are too close, in a clustering with injected faults.
+
+    Names whose number is a multiple of six are made one place each, and of the
+    next ones odd and even stops are torn apart; all others stay as clustered.
+    """
     m = fx.members(spark, sf)
-    again = places.cluster(m.select("stop_id", F.col("place_id").alias("name_norm"), "lat", "lon"))
-    split = again.groupBy("name_norm").agg(F.countDistinct("label").alias("k")).agg(F.count(F.lit(1)).alias("n_places"), F.count_if(F.col("k") > 1).alias("n_split"))
-    close = places.under_merged(m).agg(F.count_if(F.col("gap_m") <= 150).alias("n_too_close"))
-    return split.crossJoin(close)
+    n = F.substring("name_norm", 2, 20).cast("long") % 6
+    torn = F.concat("place_id", (F.col("stop_id") % 2).cast("string"))
+    m = m.withColumn("place_id", F.when(n == 0, F.col("name_norm")).when(n == 1, torn).otherwise(F.col("place_id")))
+    return places.validity(m, 150.0)
 
 
 @query("G11_place_geometry", f"SELECT m.stop_id, m.place_id, p.n_stops, round({haversine_sql('m.lat', 'm.lon', 'p.lat_centroid', 'p.lon_centroid')}, 3) AS dist_m FROM members m JOIN places p USING (place_id)")

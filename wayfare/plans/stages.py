@@ -163,7 +163,7 @@ def hubs(tables: Tables, params: dict, overrides: DataFrame | None = None) -> Ta
 def precision_near(hub_places: DataFrame, official: DataFrame, n: int, radius_m: float = 150.0) -> float:
     """Share of the n best hubs (by lifetime, degree) with an official hub within the radius (a view beside the reference tables)."""
     best = hub_places.orderBy(F.desc("L"), F.desc("D"), "place_id").limit(n)
-    near = best.crossJoin(F.broadcast(official.select(F.col("lat").alias("y"), F.col("lon").alias("x")).limit(100_000)))
+    near = official.select(F.col("lat").alias("y"), F.col("lon").alias("x")).crossJoin(F.broadcast(best))
     hit = near.where(geo.haversine(F.col("lat_centroid"), F.col("lon_centroid"), F.col("y"), F.col("x")) <= radius_m).select("place_id").distinct().count()
     total = best.count()
     if not total:
