@@ -249,6 +249,7 @@ def test_diameters_equal_all_pairs(spark):
 def test_violations_by_reach_equal_those_by_frontiers(spark):
     rng = random.Random(10)
     pairs = {tuple(sorted(rng.sample(range(60), 2))) for _ in range(75)} | {(100 + i, 101 + i) for i in range(9)}
+    pairs |= {(300, 300 + i) for i in range(1, 6)} | {(305, 306), (306, 307), (307, 320)} | {(320, 320 + i) for i in range(1, 7)}
     e = spark.createDataFrame([(f"{a:03}", f"{b:03}") for a, b in pairs], "place_a string, place_b string")
     want = network.first_violations(e, 6).where("mask = 'masked_global'")
     shown = lambda df: sorted((r["place_id"], r["dominance"], r["fails_at"]) for r in df.collect())
