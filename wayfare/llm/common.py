@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,3 +63,53 @@ def let(value: Column, body) -> Column:
     value evaluated once per row.
     """
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: Names of the two numbers that tell rows apart.
+ROW_KEY = ("__row_file", "__row_index")
+
+
+def with_row_key(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` with :data:`ROW_KEY`, two numbers that no other row has, whatever ids and texts repeat.
+
+    A row of a Parquet table is told apart by its file (a 64-bit hash of the
+    path) and its place in the file, which stay the same however often the
+    table is read.  Anything else is written once, with numbers.
+    """
+    if "_metadata" not in docs.columns:
+        try:
+            return docs.select("*", F.xxhash64("_metadata.file_path").alias(ROW_KEY[0]), F.col("_metadata.row_index").alias(ROW_KEY[1]))
+        except AnalysisException:
+            pass
+    numbered = docs.select("*", F.lit(0).cast("long").alias(ROW_KEY[0]), F.monotonically_increasing_id().alias(ROW_KEY[1]))
+    return scratch.put(numbered, "numbered")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A batch function that hands its memory back to the system when it ends, since workers live on and serve other stages."""
+
+    def tidied(batches: Batches) -> Batches:
+        yield from run(batches)
+        release()
+
+    return tidied
+
+
+def release() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return

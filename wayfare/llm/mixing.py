@@ -12,8 +12,11 @@ counts go by hash range (bounded groups) with offsets from a small table of
 range sums, and slot ranks go by fixed chunks of the schedule in the same way.
 
 Edge cases: null or empty texts have size 0 and are never taken; a null source
-is a source of its own, last in order; repeated rows are documents of their
-own; an empty table gives an empty result; extra columns are ignored.
+is a source of its own, last in order; null ids are shuffled as the empty text;
+repeated rows and rows that share an id are documents of their own; very long
+texts are counted whole and stand in as many blocks as they fill; an empty
+table gives an empty result; extra columns, whatever their names, are ignored
+by the query and kept by :func:`mixed_documents`.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, word_count
+from .common import ROW_KEY, Scratch, with_row_key, word_count
 
 GOLDEN = 0.6180339887498949
 #: Cells of the unit interval by which slots find their source with an equi-join.
@@ -91,17 +94,19 @@ def schedule(targets: DataFrame, slots: int, block_words: int) -> DataFrame:
     return ranked.unionByName(tail)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: float = 2.0, block_words: int = 1024, range_rows: int = 2_000) -> tuple[DataFrame, DataFrame]:
-    """Mix ``docs`` (``id_col``, source, text).
+def mix(
+    docs: DataFrame, id_col: str = "doc_id", weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: float = 2.0, block_words: int = 1024, range_rows: int = 2_000
+) -> tuple[DataFrame, DataFrame]:
+    """Mix ``docs`` (row key, ``id_col``, source, text).
 
-    Returns ``(rows, pieces)``.  rows: one per document with ``doc_id, source,
-    size, source_size, target, start`` (its place in the source's stream).
-    pieces: what the mix takes, one row per document, epoch and block:
-    ``src_key, doc_id, start, epoch, slot, words``.
+    Returns ``(rows, pieces)``, both with the row key.  rows: one per document
+    with ``doc_id, source, size, source_size, target, start`` (its place in the
+    source's stream).  pieces: what the mix takes, one row per document, epoch
+    and block: ``src_key, epoch, slot, at`` (place in the block), ``words``.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"))
+    sized = docs.select(*ROW_KEY, F.col(id_col).alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"))
     sized = sized.withColumn("src_key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null")))
     sized = sized.withColumn("shuffle_key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
     sized = scratch.put(sized, "sized")
@@ -115,40 +120,45 @@ def mix(docs: DataFrame, id_col: str = "doc_id", weights: Sequence[int] = (3, 1,
     slots = targets.agg(F.sum("need")).first()[0] or 0
 
     by_range = sized.groupBy("src_key", "range").agg(F.sum("size").alias("words"))
-    offsets = by_range.select("src_key", "range", F.coalesce(F.sum("words").over(Window.partitionBy("src_key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
-    running = Window.partitionBy("src_key", "range").orderBy("shuffle_key", F.col("doc_id"), "size").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("src_key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = by_range.select("src_key", "range", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("first"))
+    running = Window.partitionBy("src_key", "range").orderBy("shuffle_key", "doc_id", "size", *ROW_KEY).rowsBetween(Window.unboundedPreceding, 0)
     rows = sized.withColumn("upto", F.sum("size").over(running)).join(offsets, ["src_key", "range"])
     rows = rows.withColumn("start", F.col("first") + F.col("upto") - F.col("size")).drop("first", "upto", "range", "shuffle_key", "source")
     rows = rows.join(targets, "src_key")
-    rows = scratch.put(rows.select("src_key", "source", "doc_id", "size", "source_size", "target", "limit", "start"), "rows")
+    rows = scratch.put(rows.select(*ROW_KEY, "src_key", "source", "doc_id", "size", "source_size", "target", "limit", "start"), "rows")
 
     taken = rows.where("size > 0").withColumn("epoch", F.explode(F.array(F.lit(0), F.lit(1))))
-    taken = taken.withColumn("from", F.col("start") + F.col("epoch") * F.col("source_size")).withColumn("to", F.least(F.col("from") + F.col("size"), F.col("limit"))).where("from < to")
+    taken = taken.withColumn("from", F.col("start") + F.col("epoch") * F.col("source_size"))
+    taken = taken.withColumn("to", F.least(F.col("from") + F.col("size"), F.col("limit"))).where("from < to")
     taken = taken.withColumn("rank", F.explode(F.sequence(F.floor(F.col("from") / block_words), F.floor((F.col("to") - 1) / block_words))))
-    taken = taken.withColumn("words", F.least(F.col("to"), (F.col("rank") + 1) * block_words) - F.greatest(F.col("from"), F.col("rank") * block_words))
+    begin, end = F.greatest(F.col("from"), F.col("rank") * block_words), F.least(F.col("to"), (F.col("rank") + 1) * block_words)
+    taken = taken.withColumn("at", begin - F.col("rank") * block_words).withColumn("words", end - begin)
     plan = schedule(targets, slots, block_words)
-    pieces = taken.select("src_key", "doc_id", "start", "epoch", "rank", "words").join(plan, ["src_key", "rank"])
+    pieces = taken.select(*ROW_KEY, "src_key", "epoch", "rank", "at", "words").join(plan, ["src_key", "rank"])
     return rows, pieces
 
 
 def taken_words(docs: DataFrame, **params) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken."""
-    rows, pieces = mix(docs, **params)
-    took = pieces.groupBy("src_key", "start", "doc_id").agg(F.sum("words").alias("taken"))
-    some, none = rows.where("size > 0"), rows.where("size = 0")
-    out = some.join(took.select("src_key", "start", F.col("doc_id").alias("piece_doc"), "taken"), (some["src_key"] == took["src_key"]) & (some["start"] == took["start"]) & some["doc_id"].eqNullSafe(F.col("piece_doc")), "left")
-    out = out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
-    return out.unionByName(none.select("doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken")))
+    """One row per document: doc_id, size, source_size, target, taken (words) and slot (the first of the mix that has any of them, else null)."""
+    rows, pieces = mix(with_row_key(docs, Scratch(docs.sparkSession, "mixing-rows")), **params)
+    took = pieces.groupBy(*ROW_KEY).agg(F.sum("words").alias("taken"), F.min("slot").alias("slot"))
+    out = rows.join(took, list(ROW_KEY), "left")
+    return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.col("slot").cast("long").alias("slot"))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:
-    """The documents of the mix: a row of ``docs`` once per epoch that takes any of its words.
+    """The documents of the mix in the order of its slots: a row of ``docs`` once per epoch that takes any of its words.
 
-    A document that the end of its source's share cuts is kept whole.  Ids are
-    expected to be distinct; rows that share an id are all taken as often as
-    the first of them.
+    A copy stands where its first word does, in the slot of that word's block.
+    A document that the end of its source's share cuts is kept whole.  Rows are
+    told apart by where they are stored, so rows with one id, or none, are
+    documents of their own, and columns of any name come back untouched.
     """
-    _, pieces = mix(docs, id_col=id_col, **params)
-    copies = pieces.groupBy("doc_id").agg(F.max("epoch").alias("last"), F.min("epoch").alias("first"))
-    copies = copies.select(F.col("doc_id").alias("__id"), F.sequence(F.col("first"), F.col("last")).alias("__epochs"))
-    return docs.join(copies, docs[id_col].eqNullSafe(copies["__id"])).withColumn("__epoch", F.explode("__epochs")).select(*docs.columns)
+    keyed = with_row_key(docs, Scratch(docs.sparkSession, "mixing-rows"))
+    _, pieces = mix(keyed, id_col=id_col, **params)
+    place = F.min(F.struct("slot", "at"))
+    copies = pieces.groupBy(*ROW_KEY, "epoch").agg(place.alias("__place")).drop("epoch")
+    placed = keyed.join(copies, list(ROW_KEY))
+    order = ("__place.slot", "__place.at", *ROW_KEY)
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)

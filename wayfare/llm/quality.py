@@ -1,7 +1,7 @@
 """Quality rules: a threshold table compiled into one Spark projection.
 
 ``RULES`` names a feature, the least and the largest value that a document may
-have.  :func:`features` computes all features as columns from the text alone,
+have.  features are columns computed from the text alone,
 :func:`verdict` compiles the table into one boolean expression.  There is no
 shuffle and no user function: a scan and a projection at any size.
 
@@ -10,7 +10,8 @@ Words are runs of anything but ASCII white space; lines end at ``\\n``.
 Edge cases: null text is the empty text; an empty text has no words, lines or
 symbols and fails the base rule; very long texts are processed whole (windows
 are found by sorting, so time grows as n log n); repeated rows are judged one
-by one; an empty table gives an empty result; extra columns pass through.
+by one; an empty table gives an empty result; extra columns pass through, also
+those with the names of our own.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, let, text_or_empty, without, words_of
+from .common import SPACE_CHARS, free_name, let, without, words_of
 
 SYMBOLS = "#*$%&|<>"
 #: Frequent function words of the four languages of the corpus.
@@ -79,9 +80,9 @@ def _windows(words: Column) -> Column:
     return F.coalesce(found, F.lit(0).cast("long"))
 
 
-def features(docs: DataFrame, column: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``quality`` of counts and ratios."""
-    text = text_or_empty(column)
+def features(text: Column) -> Column:
+    """A struct of the counts and ratios of a text."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
     stops = sorted(set(STOP_WORDS))
 
     def counts(t: Column) -> Column:
@@ -119,7 +120,7 @@ def features(docs: DataFrame, column: str = "text") -> DataFrame:
         base = (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
         return F.struct(*[q[k].alias(k) for k in ("n_words", "n_lines", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], base.alias("base_failed"), *[v.alias(k) for k, v in named.items()])
 
-    return docs.withColumn("quality", let(let(let(text, counts), more), ratios))
+    return let(let(let(text, counts), more), ratios)
 
 
 def verdict(quality: Column, rules=RULES) -> Column:
@@ -134,11 +135,15 @@ def verdict(quality: Column, rules=RULES) -> Column:
 
 
 def judge(docs: DataFrame, rules=RULES, column: str = "text") -> DataFrame:
-    """``docs`` with ``quality`` (struct) and ``kept`` (boolean)."""
-    return features(docs, column).withColumn("kept", verdict(F.col("quality"), rules))
+    """``docs`` with ``quality`` (struct) and ``kept`` (boolean) behind its own columns.
+
+    Where ``docs`` has a column of such a name, ours gets underscores behind it.
+    """
+    name, kept = free_name(docs, "quality"), free_name(docs, "kept")
+    return docs.withColumn(name, features(F.col(column))).withColumn(kept, verdict(F.col(name), rules))
 
 
 def keep_good(docs: DataFrame, rules=RULES, column: str = "text") -> DataFrame:
     """The documents that every rule keeps, with the columns they came with."""
-    q = features(docs.select(*docs.columns), column)
-    return q.where(verdict(F.col("quality"), rules)).select(*docs.columns)
+    name = free_name(docs, "__quality")
+    return docs.withColumn(name, features(F.col(column))).where(verdict(F.col(name), rules)).drop(name)

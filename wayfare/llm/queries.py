@@ -93,12 +93,29 @@ WITH d AS (
   FROM r
 ), t AS (
   SELECT source, source_size, least(cap, weight * (SELECT coalesce(arg_min(try_level, (level_at, source)), 0) FROM l WHERE try_level <= level_at)) AS target FROM l
+), n AS (
+  SELECT *, CAST(floor(target) AS BIGINT) AS lim, CAST(ceil(floor(target) / 1024.0::DOUBLE) AS BIGINT) AS need, coalesce('=' || source, 'null') AS sk FROM t
+), h AS (
+  SELECT sk, need, sum(need) OVER (ORDER BY sk)::DOUBLE / sum(need) OVER ()::DOUBLE AS hi, (sum(need) OVER (ORDER BY sk) - need)::DOUBLE / sum(need) OVER ()::DOUBLE AS lo FROM n WHERE need > 0
+), x AS (
+  SELECT i AS slot, i * 0.6180339887498949::DOUBLE - floor(i * 0.6180339887498949::DOUBLE) AS x FROM (SELECT unnest(range(0, CAST((SELECT coalesce(sum(need), 0) FROM n) AS BIGINT))) AS i)
+), hit AS (
+  SELECT slot, sk, need, row_number() OVER (PARTITION BY sk ORDER BY slot) - 1 AS rk FROM x JOIN h ON x >= lo AND x < hi
+), plan AS (
+  SELECT sk, rk, slot FROM hit WHERE rk < need
+  UNION ALL
+  SELECT sk, rk, (SELECT sum(need) FROM n) + rk FROM (SELECT h.sk, unnest(range((SELECT count(*) FROM hit WHERE hit.sk = h.sk), h.need)) AS rk FROM h)
 ), p AS (
-  SELECT d.*, sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS a FROM d
+  SELECT d.*, CAST(sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS BIGINT) AS a, coalesce('=' || source, 'null') AS sk FROM d
+), e AS (
+  SELECT p.doc_id, p.size, p.a, p.sk, n.source_size, n.target, n.lim, u.epoch, CAST(p.a + u.epoch * n.source_size AS BIGINT) AS f FROM p JOIN n USING (sk), (VALUES (0), (1)) u(epoch)
+), g AS (
+  SELECT doc_id, size, a, sk, min(slot) AS slot FROM plan JOIN (
+    SELECT doc_id, size, a, sk, unnest(range(f // 1024, (least(f + size, lim) - 1) // 1024 + 1)) AS rk FROM e WHERE size > 0 AND f < lim) USING (sk, rk) GROUP BY ALL
 )
-SELECT p.doc_id, p.size, t.source_size, t.target,
-  CAST(greatest(0, least(a + size, floor(target)) - a) + greatest(0, least(a + t.source_size + size, floor(target)) - a - t.source_size) AS BIGINT) AS taken
-FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
+SELECT e.doc_id, e.size, e.source_size, e.target, CAST(sum(greatest(0, least(f + e.size, lim) - f)) AS BIGINT) AS taken, CAST(any_value(g.slot) AS BIGINT) AS slot
+FROM e LEFT JOIN g ON g.doc_id IS NOT DISTINCT FROM e.doc_id AND g.a = e.a AND g.sk = e.sk AND g.size = e.size
+GROUP BY e.doc_id, e.size, e.a, e.sk, e.source_size, e.target
 """
 
 
