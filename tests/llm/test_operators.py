@@ -122,6 +122,37 @@ def test_packing_round_trip(awkward, empty):
     assert packing.pack(empty).count() == 0 and not used
 
 
+def test_harmonic_bins():
+    rng = random.Random(3)
+    for lengths in ([rng.choice((1, 3, 17, 200, 340, 341, 342, 511, 512, 513, 700, 1023, 1024, 1025, 5000)) for _ in range(3000)], [int(rng.expovariate(1 / 600)) + 1 for _ in range(3000)], [600] * 400, [1], [5]):
+        bins, docs = packing.Bins(1024, 0), []
+        for i, n in enumerate(lengths):
+            docs.append(np.arange(i, i + n, dtype="<u4").tobytes())
+            bins.add((i, 0, n, docs[-1], n))
+        bins.finish()
+        sequences, mine = collections.defaultdict(list), collections.defaultdict(list)
+        for p in bins.done:
+            sequences[p[5]].append((p[6], p[2]))
+            mine[p[0]].append((p[1], p[2], p[3], p[4]))
+        for i, n in enumerate(lengths):
+            at = 0
+            for start, length, ids, total in sorted(mine[i]):
+                assert start == at and ids == docs[i][4 * at : 4 * (at + length)] and total == n
+                at += length
+            assert at == n
+        short = []
+        for pieces in sequences.values():
+            at = 0
+            for offset, length in sorted(pieces):
+                assert offset == at and length
+                at += length
+            assert at == 1024 or at & (at - 1) == 0
+            short += [at] * (at < 1024)
+        assert len(short) <= 10 and len(sequences) <= sum(lengths) // 1024 + 10
+        full = sum(n // 1024 for n in lengths)
+        assert len(bins.done) <= len(lengths) + full + 2 * len(sequences)
+
+
 def test_special_strings_are_encoded_as_the_library_does():
     from tokenizers import Tokenizer
 
@@ -175,6 +206,32 @@ def test_minhash_against_brute_force(spark, awkward, empty):
     assert kept.columns == awkward.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "3", "4", "5", "6", "8", "9", "None"]
 
 
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    base = [f"v{i}" for i in range(60)]
+    other = [f"u{i}" for i in range(60)]
+    near = [*base[:-1], "new"]
+    rows = [(5, " ".join(other)), (5, " ".join(base)), (3, " ".join(near)), (None, " ".join(base)), (None, " ".join(other).upper()), (None, "only here no id"), (None, "only here no id"), (None, None), (None, None), (9, ""), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(df, k=2).collect()), key=str)
+    assert got == sorted([(5, 5), (5, 3), (3, 3), (None, 3), (None, 5), (None, None), (None, None), (None, None), (None, None), (9, 9), (9, 9)], key=str)
+    kept = sorted(map(tuple, minhash.keep_one(df, k=2).collect()), key=str)
+    assert kept == sorted([rows[0], rows[2], rows[5], rows[7], rows[8], rows[9], rows[10]], key=str)
+
+
+def test_frequent_elements_do_not_change_links(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "FREQUENT", 3)
+    rng = random.Random(11)
+    common = [f"c{i}" for i in range(30)]
+    rows = []
+    for family in range(20):
+        own = [f"f{family}w{i}" for i in range(rng.randint(4, 12))]
+        for _ in range(4):
+            rows.append((len(rows), " ".join(w for w in common + own if rng.random() > 0.06)))
+    want, _ = jaccard_classes(rows, 2, 80)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=2, pivots=1).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(0)
     for n, common in ((3, 2), (60, 45), (900, 800)):

@@ -21,9 +21,10 @@ and only their smallest id takes part; links and components stay distributed.
 
 Edge cases: null or empty texts and texts without words have an empty set and
 are linked with nothing; a text with fewer than ``k`` words is one shingle of
-all its words; repeated rows are equal sets; rows with a null id are linked by
-equal sets alone; an empty table gives an empty result; texts are read whole;
-extra columns are ignored by the query and kept by :func:`keep_one`.
+all its words; repeated rows are equal sets; a null id counts as larger than all
+ids; rows that share an id are documents of their own; an empty table gives an
+empty result; texts are read whole; extra columns, whatever their names, are
+ignored by the query and kept by :func:`keep_one`.
 """
 
 from __future__ import annotations
@@ -39,13 +40,15 @@ from pyspark.sql.window import Window
 
 from wayfare.operators.components import connected_components
 
-from .common import Scratch
+from .common import ROW_KEY, Scratch, tidy, with_row_key
 
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _S30, _S27, _S31, _S32 = (np.uint64(x) for x in (30, 27, 31, 32))
 _LOW = np.uint64(0xFFFFFFFF)
-#: Candidate ids up to which the id set is broadcast (8 bytes each); beyond, the join shuffles.
-BROADCAST_IDS = 2_000_000
+#: Candidates up to which their keys are broadcast (about 100 bytes each in a hash table); beyond, the join shuffles.
+BROADCAST_ROWS = 150_000
+#: An element in more sets than this, or than a millionth of all elements, is frequent: its count is broadcast (at most a million of them).
+FREQUENT, FREQUENT_SHARE = 1_000, 1_000_000
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -107,23 +110,28 @@ def band_keys(coordinates: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, text) -> (doc_id, n_shingles, set_id, keys): set_id is a 128-bit digest of the set."""
+    """(row key, doc_id, text) -> (row key, doc_id, n_shingles, set_id, keys): set_id is a 128-bit digest of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            n, ids, keys = [], [], []
-            for text in batch.column(1):
-                items = shingle_set(text.as_py(), k, words)
-                n.append(len(items))
-                ids.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
-                keys.append(band_keys(sketch(items, bands * rows), bands, rows) if len(items) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "set_id", "keys"])
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                n, ids, keys = [], [], []
+                for text in part.column(3):
+                    items = shingle_set(text.as_py(), k, words)
+                    n.append(len(items))
+                    ids.append(xxhash.xxh3_128_digest(items.tobytes()) if len(items) else None)
+                    keys.append(band_keys(sketch(items, bands * rows), bands, rows) if len(items) else None)
+                found = [pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *found], names=[*ROW_KEY, "doc_id", "n_shingles", "set_id", "keys"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, keys array<long>")
+    return docs.mapInArrow(tidy(run), f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, doc_id long, n_shingles long, set_id binary, keys array<long>")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
+    """(node, text) -> (node, items): the set's sorted hashes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
@@ -132,7 +140,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
                 items = [shingle_set(t.as_py(), k, words).tobytes() for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(items, pa.binary())], names=["rep", "items"])
 
-    return docs.mapInArrow(run, "rep long, items binary")
+    return docs.mapInArrow(tidy(run), "rep long, items binary")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -154,7 +162,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("rep").alias("a"), F.col("items").alias("p"))
     right = sets.select(F.col("rep").alias("b"), F.col("items").alias("q"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "p", "q").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "p", "q").mapInArrow(tidy(run), "a long, b long")
 
 
 def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -206,14 +214,28 @@ def _pivot_pairs(members: DataFrame, salt: int) -> DataFrame:
     return _ordered(hit, "rep", "pivot")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, bands: int = 48, rows: int = 6, first_bands: int = 4, pivots: int = 2) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest id reachable over links)."""
-    scratch = Scratch(docs.sparkSession, "minhash")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+class _Found:
+    """What a search has found: ``seen`` (a row per document), ``classes`` (a row per set) and ``placed`` (set_id, group, component_id)."""
+
+    def __init__(self, seen: DataFrame, classes: DataFrame, components: DataFrame):
+        linked = components.join(classes.select("node", "set_id", "least"), "node")
+        least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
+        groups = components.join(least, "component").select("node", F.col("component").alias("group"), "component_id")
+        placed = classes.join(groups, "node", "left")
+        self.seen, self.classes = seen, classes
+        self.placed = placed.select("set_id", "node", F.coalesce("group", "node").alias("group"), F.coalesce("component_id", "least").alias("component_id"), "least")
+
+
+def _search(docs: DataFrame, scratch: Scratch, k: int, percent: int, bands: int, rows: int, first_bands: int, pivots: int) -> _Found:
+    """Search (row key, doc_id, text).  Nodes are sets, each with the number of its row in a written table, so that ids may repeat or be missing."""
     seen = scratch.put(sketches(docs, k, bands, rows), "sketches")
-    classes = scratch.put(seen.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("rep")), "classes")
-    nodes = seen.select("doc_id", "set_id", "n_shingles", "keys").join(classes.where("rep is not null").select("set_id", F.col("rep").alias("doc_id")), ["set_id", "doc_id"])
-    nodes = scratch.put(nodes.dropDuplicates(["doc_id", "set_id"]).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "keys"), "nodes")
+    # the row with the smallest id stands for its set; a place in the table decides between rows of one id
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW_KEY)
+    classes = seen.where("set_id is not null").groupBy("set_id").agg(F.min(first).alias("f"))
+    classes = classes.select("set_id", F.col("f.doc_id").alias("least"), *[F.col(f"f.{c}").alias(c) for c in ROW_KEY])
+    classes = scratch.put(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    nodes = seen.join(classes.select("node", *ROW_KEY), list(ROW_KEY)).select(*ROW_KEY, F.col("node").alias("rep"), F.col("n_shingles").alias("n"), "keys")
+    nodes = scratch.put(nodes, "nodes")
 
     def buckets(first: int, count: int) -> DataFrame:
         return nodes.select("rep", "n", F.explode(F.slice("keys", first, count)).alias("key"))
@@ -221,25 +243,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def sharing(entries: DataFrame) -> DataFrame:
         return entries.join(_mixed(entries.withColumn("component", F.col("rep"))), "key")
 
+    def sets_of(reps: DataFrame, name: str) -> DataFrame:
+        """Full sets of some nodes; the list of their rows is broadcast only while it is small."""
+        chosen = scratch.put(nodes.select("rep", *ROW_KEY).join(reps, "rep", "left_semi"), f"rows-{name}")
+        if chosen.count() <= BROADCAST_ROWS:
+            chosen = F.broadcast(chosen)
+        return scratch.put(_sets(docs.join(chosen, list(ROW_KEY)).select("rep", "text"), k), name)
+
     # A few bands bring most copies together; all bands are then looked at by component.
     opening = scratch.put(sharing(buckets(1, first_bands)), "opening")
-    everyone = nodes.select("rep", "n", "keys")
     groups = _Groups(scratch, None, percent)
-    groups.sets = scratch.put(_sets(_chosen(docs, opening.select("rep").distinct()), k), "sets0")
+    groups.sets = sets_of(opening.select("rep").distinct(), "sets0")
     groups.test(_pivot_pairs(opening.withColumn("component", F.col("rep")), 0))
 
-    placed = groups.of(everyone).select("rep", "n", "component", F.explode("keys").alias("key"))
+    placed = groups.of(nodes.select("rep", "n", "keys")).select("rep", "n", "component", F.explode("keys").alias("key"))
     members = scratch.put(placed.join(_mixed(placed), "key").select("key", "rep", "n"), "members")
     more = members.select("rep").distinct().join(groups.sets.select("rep"), "rep", "left_anti")
-    groups.sets = groups.sets.unionByName(scratch.put(_sets(_chosen(docs, more), k), "sets1"))
+    groups.sets = groups.sets.unionByName(sets_of(more, "sets1"))
     for salt in range(pivots):
         groups.test(_pivot_pairs(_still_mixed(groups.of(members)), salt))
     rest = _still_mixed(groups.of(members)).select("rep", "n", "component").distinct()
     groups.test(_prefix_pairs(scratch.put(rest, "rest"), groups.sets, percent, scratch))
+    return _Found(seen, classes, groups.components)
+
 
-    found = groups.of(classes.where("rep is not null")).select("set_id", "component")
-    out = seen.select("doc_id", "n_shingles", "set_id").join(found, "set_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+def _prepared(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(docs with row keys, (row key, doc_id, text))."""
+    keyed = with_row_key(docs, scratch)
+    return keyed, keyed.select(*ROW_KEY, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, bands: int = 48, rows: int = 6, first_bands: int = 4, pivots: int = 2) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest id reachable over links)."""
+    scratch = Scratch(docs.sparkSession, "minhash")
+    found = _search(_prepared(docs, scratch, id_col, text_col)[1], scratch, k, percent, bands, rows, first_bands, pivots)
+    out = found.seen.select("doc_id", "n_shingles", "set_id").join(found.placed.select("set_id", "component_id"), "set_id", "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -261,10 +300,16 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int, scratch: Scrat
                 rep, n = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(items), rep)), pa.array(np.full(len(items), n)), pa.array(items)], names=["rep", "n", "e"])
 
-    elements = scratch.put(rest.select("rep", "n").join(sets, "rep").select("rep", "n", "items").mapInArrow(run, "rep long, n long, e long"), "elements")
+    elements = scratch.put(rest.select("rep", "n").join(sets, "rep").select("rep", "n", "items").mapInArrow(tidy(run), "rep long, n long, e long"), "elements")
     frequency = elements.groupBy("e").agg(F.count(F.lit(1)).alias("df"))
     place = F.row_number().over(Window.partitionBy("rep").orderBy("df", "e")).cast("long")
-    ranked = elements.join(frequency, "e").withColumn("at", place)
+    frequency = scratch.put(frequency, "frequency")
+    most = max(FREQUENT, elements.count() // FREQUENT_SHARE)
+    # the rows of a frequent element stay where they are; only rare ones, each a bounded group, are dealt by element
+    often = frequency.where(F.col("df") > most)
+    counted = elements.join(F.broadcast(often), "e", "left")
+    rare = counted.where("df is null").drop("df").join(frequency.where(F.col("df") <= most), "e")
+    ranked = counted.where("df is not null").unionByName(rare, allowMissingColumns=True).withColumn("at", place)
     prefix = ranked.where((F.col("df") > 1) & (F.lit(100) * (F.col("n") - F.col("at") + 1) >= F.lit(percent) * F.col("n")))
     prefix = scratch.put(prefix.join(rest.select("rep", "component"), "rep").select("e", "rep", "n", "at", "component"), "prefix")
     shares = prefix.groupBy("e", "component").agg(F.count(F.lit(1)).alias("k"))
@@ -281,25 +326,19 @@ def _still_mixed(members: DataFrame) -> DataFrame:
     return members.join(_mixed(members), "key")
 
 
-def _chosen(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The documents of the given ids, one row each; the id set is broadcast only while it is small."""
-    ids = reps.select(F.col("rep").alias("doc_id"))
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, "doc_id", "left_semi")
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, bands: int = 48, rows: int = 6, first_bands: int = 4, pivots: int = 2) -> DataFrame:
     """One document of each group of near-duplicates (the smallest id), with the columns it came with.
 
-    Rows that share an id are reduced to one of them; rows without an id stay.
+    Rows are told apart by where they are stored, not by their ids: of rows
+    with one id those that are no near-duplicates of each other all stay, and
+    so do all rows without words.  A row without an id counts as larger than
+    all ids; of a group without ids one row stays.
     """
-    groups = near_duplicates(docs, id_col=id_col, **params)
-    marks = groups.where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    marks = Scratch(docs.sparkSession, "minhash-keep").put(marks.where("first <> doc_id or n > 1"), "marks")
-    kept = docs.join(marks.select(F.col("doc_id").alias("__mark")), F.col(id_col) == F.col("__mark"), "left_anti")
-    repeated = marks.where("first = doc_id")
-    if repeated.limit(1).count():
-        again = docs.join(repeated.select(F.col("doc_id").alias("__mark")), F.col(id_col) == F.col("__mark"), "left_semi")
-        kept = kept.unionByName(again.dropDuplicates([id_col]))
-    return kept.select(*docs.columns)
+    scratch = Scratch(docs.sparkSession, "minhash")
+    keyed, rows_of = _prepared(docs, scratch, id_col, text_col)
+    found = _search(rows_of, scratch, k, percent, bands, rows, first_bands, pivots)
+    first = F.struct(F.col("least").isNull().alias("none"), "least", "node")
+    heads = found.placed.groupBy("group").agg(F.min(first).alias("f")).select(F.col("f.node").alias("node"))
+    stay = found.classes.join(heads, "node").select(*ROW_KEY)
+    gone = found.seen.where("set_id is not null").select(*ROW_KEY).join(stay, list(ROW_KEY), "left_anti")
+    return keyed.join(scratch.put(gone, "gone"), list(ROW_KEY), "left_anti").select(*docs.columns)

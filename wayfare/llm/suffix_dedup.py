@@ -39,7 +39,6 @@ ignored.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 
@@ -50,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, let
+from .common import ROW_KEY, Scratch, let, release, tidy, with_row_key
 from .minhash import mix64
 
 NO_ID = np.int64(2**63 - 1)
@@ -143,9 +142,16 @@ class _Distinct:
         return np.minimum(np.bincount(pairs, minlength=len(self.keys)), 65535).astype(np.uint16)
 
 
-def pack_header(ids: list, texts: list[bytes], whole: list[int], digests: list[bytes]) -> bytes:
-    """Per document: id, whether there is one, bytes in the batch's body, bytes of the document if it goes whole (else -1), digest of the document (two numbers)."""
-    return np.column_stack((np.array([NO_ID if i is None else i for i in ids], np.int64), np.array([i is not None for i in ids], np.int64), np.array([len(t) for t in texts], np.int64), np.array(whole, np.int64), np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2))).tobytes()
+def pack_header(ids: list, texts: list[bytes], whole: list[int], keys: list[tuple[int, int]]) -> bytes:
+    """Per document: id, whether there is one, bytes in the batch's body, bytes of the document if it goes whole (else -1), row key (two numbers)."""
+    numbers = (
+        np.array([NO_ID if i is None else i for i in ids], np.int64),
+        np.array([i is not None for i in ids], np.int64),
+        np.array([len(t) for t in texts], np.int64),
+        np.array(whole, np.int64),
+        np.array(keys, np.int64).reshape(-1, 2),
+    )
+    return np.column_stack(numbers).tobytes()
 
 
 def _pack_spans(spans: np.ndarray) -> bytes:
@@ -184,32 +190,32 @@ def _batches(docs: DataFrame, length: int, gram: int, ranges: int, batch_bytes:
         number = TaskContext.get().partitionId() << 32
         packer = zstandard.ZstdCompressor(level=3)
 
-        def flush(ids: list, texts: list[bytes], whole: list[int], digests: list[bytes]) -> pa.RecordBatch:
+        def flush(ids: list, texts: list[bytes], whole: list[int], places: list[tuple[int, int]]) -> pa.RecordBatch:
             body = b"".join(texts)
             anchors = Anchors(np.frombuffer(body, np.uint8), np.cumsum([len(t) for t in texts]), length, gram)
             keys = _Distinct(anchors, ranges)
             many, low = keys.documents(anchors.doc), keys.keys.astype(np.uint32)
             rows = [(0, number, r, low[x:y].tobytes(), many[x:y].tobytes()) for r, (x, y) in enumerate(zip(keys.cuts[:-1], keys.cuts[1:], strict=True)) if x < y]
-            rows.append((1, number, -1, pack_header(ids, texts, whole, digests), packer.compress(body)))
+            rows.append((1, number, -1, pack_header(ids, texts, whole, places), packer.compress(body)))
             return _record(rows)
 
-        ids, texts, whole, digests, held = [], [], [], [], 0
+        ids, texts, whole, places, held = [], [], [], [], 0
         for batch in incoming:
-            for doc, text, copy in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+            for doc, text, copy, *place in zip(batch.column(0).to_pylist(), batch.column(1), *(batch.column(j).to_pylist() for j in (2, 3, 4)), strict=True):
                 raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
                 gone = copy and len(raw) >= length
                 ids.append(doc)
                 texts.append(b"" if gone else raw)
                 whole.append(len(raw) if gone else -1)
-                digests.append(hashlib.md5(raw, usedforsecurity=False).digest())
+                places.append(tuple(place))
                 held += len(texts[-1]) + 64
                 if held >= batch_bytes:
-                    yield flush(ids, texts, whole, digests)
-                    ids, texts, whole, digests, held, number = [], [], [], [], 0, number + 1
+                    yield flush(ids, texts, whole, places)
+                    ids, texts, whole, places, held, number = [], [], [], [], 0, number + 1
         if ids:
-            yield flush(ids, texts, whole, digests)
+            yield flush(ids, texts, whole, places)
 
-    return docs.mapInArrow(run, ROWS_DDL)
+    return docs.mapInArrow(tidy(run), ROWS_DDL)
 
 
 REPLY = pa.schema([("batch", pa.int64()), ("range", pa.int32()), ("marks", pa.binary()), ("shared", pa.int64())])
@@ -510,25 +516,31 @@ def _merge(length: int, gram: int):
         owner = np.array(of_run, dtype=np.int64)[hit]
         numbers = table["batch"].to_pylist()
         rows = [(4, numbers[r], -1, _pack_spans(spans[owner == r]), b"") for r in np.unique(owner).tolist()]
+        del decoded, e, spans, table
+        release()
         columns = list(zip(*rows, strict=True)) or [()] * len(ROWS)
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, ROWS, strict=True)], schema=ROWS)
 
     return run
 
 
-RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary()), ("digest", pa.binary())])
+RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary()), (ROW_KEY[0], pa.int64()), (ROW_KEY[1], pa.int64())])
+
+
+RESULT_DDL = f"doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, {ROW_KEY[0]} long, {ROW_KEY[1]} long"
 
 
 def _finish(key: tuple, batch: pa.Table, found: pa.Table) -> pa.Table:
     """Removed spans (maximal) and remaining bytes of a batch's documents."""
-    out: list[list] = [[], [], [], [], []]
+    out: list[list] = [[] for _ in RESULT]
     for header, body in zip(batch["a"], batch["b"], strict=True):
         head, ends, data = _unpack(header, body)
         starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
         spans = np.concatenate([_unpack_spans(x.as_py()) for x in found["a"]] or [np.empty((0, 3), np.int64)])
         spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
         edges = np.searchsorted(spans[:, 0], np.arange(len(head) + 1))
-        out[4].extend(x.tobytes() for x in head[:, 4:])
+        out[4].extend(head[:, 4].tolist())
+        out[5].extend(head[:, 5].tolist())
         for d, ((i, k, _, whole, *_), s, e) in enumerate(zip(head.tolist(), starts.tolist(), ends.tolist(), strict=True)):
             if whole >= 0:
                 out[0].append(i if k else None)
@@ -551,11 +563,14 @@ def _finish(key: tuple, batch: pa.Table, found: pa.Table) -> pa.Table:
             out[1].append(e - s)
             out[2].append([{"start": a - s, "end": b - s} for a, b in merged])
             out[3].append(b"".join(pieces))
-    return pa.table([pa.array(c, f.type) for c, f in zip(out, RESULT, strict=True)], schema=RESULT)
+    table = pa.table([pa.array(c, f.type) for c, f in zip(out, RESULT, strict=True)], schema=RESULT)
+    del out, found, batch
+    release()
+    return table
 
 
 def _marked_copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc_id, text, copy): whether a document with a smaller id has the same text.
+    """(doc_id, text, copy, row key): whether a document with a smaller id has the same text.
 
     The table of texts that occur more than once (digest and smallest id) is
     broadcast while it is small; beyond, the join shuffles.
@@ -566,13 +581,14 @@ def _marked_copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
     if again.count() <= BROADCAST_DIGESTS:
         again = F.broadcast(again)
     copy = F.col("least").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") > F.col("least")))
-    return docs.join(again, digest == F.col("__digest"), "left").select("doc_id", "text", copy.alias("copy"))
+    return docs.join(again, digest == F.col("__digest"), "left").select("doc_id", "text", copy.alias("copy"), *ROW_KEY)
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 24, id_col: str = "doc_id", text_col: str = "text", hot_documents: int = 8192, docs_per_range: int = 4000, batch_bytes: int = 4 << 20, merge_entries: int = 100_000) -> DataFrame:
-    """One row per document: doc_id, n_bytes, spans (removed, maximal, in bytes), kept (remaining bytes) and digest (MD5 of the text)."""
+    """One row per document: doc_id, n_bytes, spans (removed, maximal, in bytes), kept (remaining bytes) and the row key of ``docs`` (zero without one)."""
     scratch = Scratch(docs.sparkSession, "suffix")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    key = [F.col(c) if c in docs.columns else F.lit(0).cast("long").alias(c) for c in ROW_KEY]
+    docs = docs.select(*key, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ranges = max(8, math.ceil(docs.count() / docs_per_range))
     _batches(_marked_copies(docs, scratch), length, gram, ranges, batch_bytes).write.partitionBy("kind").option("compression", "uncompressed").parquet(scratch.path("batches"))
     columns = "batch long, range int, a binary, b binary"
@@ -597,7 +613,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 24, id_col: st
     merged = scratch.put(merged, "merged")
     scratch.drop("runs/kind=2")
     found = kind("runs", 3).select("batch", "a").unionByName(merged.select("batch", "a"))
-    return texts.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(_finish, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, digest binary")
+    return texts.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(_finish, RESULT_DDL)
 
 
 def _cut(text: Column, spans: Column) -> Column:
@@ -620,15 +636,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents that lost a passage and of which nothing is left go; all other
     rows stay, as often as they are there and with or without an id or text.
-    What a row loses depends on its id and text alone, so the spans are joined
-    by both.
+    Rows are told apart by where they are stored; columns of any other name
+    come back untouched.
     """
-    found = remove_repeats(docs, id_col=id_col, text_col=text_col, **params).where(F.size("spans") > 0)
-    found = found.groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).agg(F.first("spans").alias("__spans"))
-    text = docs[text_col].cast("string")
-    digest = F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
-    out = docs.join(found, docs[id_col].cast("long").eqNullSafe(found["__id"]) & (digest == found["__digest"]), "left")
-    cut = F.col("__spans").isNotNull()
+    keyed = with_row_key(docs, Scratch(docs.sparkSession, "suffix-rows"))
+    found = remove_repeats(keyed, id_col=id_col, text_col=text_col, **params).where(F.size("spans") > 0)
+    cuts = Scratch(docs.sparkSession, "suffix-spans").put(found.select(*ROW_KEY, F.col("spans").alias("__spans")), "spans")
+    out = keyed.join(cuts, list(ROW_KEY), "left")
+    cut, text = F.col("__spans").isNotNull(), F.col(text_col).cast("string")
     out = out.withColumn(text_col, F.when(cut, _cut(text, F.col("__spans"))).otherwise(text)).where(~cut | (F.length(text_col) > 0))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
