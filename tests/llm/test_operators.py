@@ -444,8 +444,10 @@ PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><
 def test_html_main_text(spark):
     assert " ".join(html_text.main_blocks(PAGE)) == "Head line First bold, text <ok>. Second, longer, text; here. More."
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (4, "u", "no tags &amp; none"), (5, "u", "<p>a <!-- open"), (5, "u", "<script>if(a<b)</script"), (6, "u", "<div><p>x</div>" * 3000), (7, "u", "<" * 500 + "a b='>")]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit("clash"), "n_blocks": F.lit(1)})
-    got = {(r["page_id"], r["n_blocks"]): r["text"] for r in html_text.extract(df).collect()}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit("clash"), "n_blocks": F.lit(-1)})
+    found = html_text.extract(df).collect()
+    assert all((r["text"], r["n_blocks"]) == ("clash", -1) for r in found)
+    got = {(r["page_id"], r["n_blocks_"]): r["text_"] for r in found}
     assert got[2, 0] == "" and got[3, 0] == "" and got[4, 1] == "no tags & none" and got[5, 1] == "a" and got[5, 0] == "" and got[6, 3000].count("x") == 3000
     assert html_text.extract(df.limit(0)).count() == 0
 
@@ -467,6 +469,54 @@ def test_html_without_article_keeps_lists_tables_quotes_and_headings():
     assert html_text.main_blocks(f"<body>{around[0]}<div class=content>{text}<br>{text}<ul><li>{item}</li></ul></div></body>") == [text.strip(), text.strip(), item]
 
 
+def test_html_smoothing_equals_all_pairs_of_paths():
+    rng = random.Random(12)
+    parts = []
+    for _ in range(150):
+        parts.append(rng.choice(("<div class=a>", "<div class=b>", "<ul><li>", "</div>", "</ul>", "<p>", "<section>", "</section>")))
+        parts.append(rng.choice(("words, and marks. ", "", "short", "longer words that say more; ")))
+    page = html_text.parse("".join(parts))
+    paths = []
+    for p in range(len(page.parent)):
+        at = []
+        while p >= 0:
+            at.append(p)
+            p = page.parent[p]
+        paths.append(at[::-1])
+    ratio, decay = html_text.ratios(page), 0.3
+    for p, got in enumerate(html_text.smoothed(page, ratio, decay)):
+        top = below = 0.0
+        for q, n in enumerate(page.count):
+            if n:
+                w = sum(decay ** (len(paths[p]) - j) for j in range(1, 1 + sum(x == y for x, y in zip(paths[p], paths[q], strict=False))))
+                top, below = top + w * ratio[q], below + w
+        assert got == pytest.approx(top / below)
+    assert sum(1 for c in page.count if c) > 20
+
+
+def test_html_ratios_alone_find_the_text():
+    text = "A sentence, with commas, that is long enough to be the text of a page. And another one, of the same kind."
+    body = f"<h1>Head line</h1><p>{text}</p><p>{text}</p><ul><li>An item</li><li>More of it</li></ul><p>{text}</p>"
+    around = "<div class=x><ul>" + "<li><a href=y>Elsewhere</a></li>" * 6 + "</ul></div><div class=y>We bake cookies here.</div>", "<div class=z>All rights reserved. Made by us.</div>"
+    want = ["Head line", text, text, "An item", "More of it", text]
+    assert html_text.main_blocks(f"<body>{around[0]}<div class=w>{body}</div>{around[1]}</body>", hints=False, prior=1.0) == want
+    inside = f"<body><main>{body}<div class=more>{'<a href=q>Read this too</a> ' * 9}</div></main></body>"
+    assert html_text.main_blocks(inside) == want
+    flat = html_text.parse(inside)
+    scores = html_text.path_scores(flat, ratio=[float(c > 0) for c in flat.count])
+    assert [t for t, p in flat.blocks if scores[p] >= 0.6 * max(scores)] != want
+
+
+def test_html_time_is_linear_in_paths():
+    import time
+
+    hostile = ("".join(f"<x{i}><p>some text, here." for i in range(20_000)), "".join(f"<div class=c{i}><p>some text, here.</p></div>" for i in range(20_000)), '<a "' * 100_000, "</b>" * 100_000 + "<i>" * 50_000)
+    for page in hostile:
+        began = time.process_time()
+        html_text.main_blocks(page)
+        assert time.process_time() - began < 5
+
+
 def test_html_class_names():
     body = "<p>The text of the page, which is what matters.</p>"
     assert html_text.main_blocks(f"<div class='content with-sidebar'>{body}</div><div class='left-sidebar'>{body}</div>") == ["The text of the page, which is what matters."]

@@ -1,21 +1,27 @@
 """Main text of web pages by tag-path ratios.
 
-A page is a sequence of text blocks, each with its root-to-leaf tag path.  Per
-path, text length and punctuation are aggregated over its blocks: the ratio
-of a path is characters per block times one plus punctuation marks per block,
-less the share of linked text.  Ratios are smoothed over similar paths (common
-prefix), fused with the ratio of the best container that the path lies in, at
-any depth (so lists, tables and quotes of a text stay with it), and paths at or
-above a share of the page's best are content.  Paths through
-menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
-styles and reader comments have no ratio; paths through an article or main
-element outweigh all others.  One page is one row: a scan and no shuffle.
+A page is a sequence of text blocks, each with its root-to-leaf tag path; the
+paths form a prefix tree.  Per path, text length and punctuation are aggregated
+over its blocks: the ratio of a path is characters per block times one plus
+punctuation marks per block, less the share of linked text.  Ratios are
+smoothed down the prefix tree: every prefix that two paths share lets each
+count for the other, the longer the more.  A smoothed ratio is fused with the
+best of the containers that the path lies in, at any depth (so lists, tables
+and quotes of a text stay with it), and paths at or above a share of the page's
+best are content.
+
+Menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
+styles and reader comments, known by element or by class name (``hints``), have
+no ratio.  An article or main element is a prior: the ratios inside count
+``prior`` times.  One page is one row: a scan and no shuffle, and time is
+linear in the page.
 
 Edge cases: null, empty or tag-free html (the last is one block of text);
 unclosed comments, scripts and tags run to the end of the page or of their
-parent; a page without content has the empty string; repeated rows are
-extracted again; an empty table gives an empty result; pages are read whole;
-extra columns pass through.
+parent; a page without content has the empty string; equal ratios are content
+together; repeated rows are extracted again; an empty table gives an empty
+result; pages are read whole, however long or deep; extra columns pass through,
+also those with the names of our own.
 """
 
 from __future__ import annotations
@@ -29,11 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import free_name, tidy
+
+_ATTRS = r"""(?:[^>"']|"[^"]*"|'[^']*'|["'])*+"""
 TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|math|object|noembed|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
+    rf"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|math|object|noembed|xmp)\b{_ATTRS}(?:(?<=/)>|>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>{_ATTRS})(?:>|\Z)",
     re.S | re.I,
 )
 CLASSES = re.compile(r"""\b(?P<name>class|id|role)\s*=\s*(?:"(?P<a>[^"]*)"|'(?P<b>[^']*)'|(?P<c>[^\s>]+))""", re.I)
@@ -58,6 +67,7 @@ BESIDE = frozenset("has with without no is js".split())
 #: Classes of articles that are not the page's own.
 NOT_MAIN = frozenset("comment comments reply teaser related ad advert promo sponsored".split())
 STRONG = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PUNCTUATION = re.compile(r"[.,;:!?。，！？…]")
 
 
@@ -69,48 +79,89 @@ def _hinted(tag: str, value: str) -> bool:
     return any(parts[0] not in BESIDE and not HINTS.isdisjoint(parts) for parts in map(PARTS.split, names))
 
 
-class _Page:
-    """Blocks of one page: (text, path, boilerplate, linked characters)."""
+#: How often ratios inside an article or main element count.
+PRIOR = 16.0
+#: A path counts for another with this factor for each element that the other has below their common prefix.
+DECAY = 0.02
+
+
+class Page:
+    """Prefix tree of the tag paths of a page, and its blocks: (text, node).
+
+    Node 0 is the root; a node has its parent, its tag and the outermost
+    article or main element that it lies in (-1: none).
+    """
 
-    def __init__(self):
-        self.stack: list[tuple[str, str, bool]] = []
-        self.blocks: list[tuple[str, tuple[str, ...], bool, int]] = []
+    def __init__(self, hints: bool = True):
+        self.hints = hints
+        self.parent, self.tag, self.strong = [-1], [""], [-1]
+        self.children: dict[tuple[int, str], int] = {}
+        self.chars, self.marks, self.count, self.linked = [0], [0], [0], [0]
+        self.blocks: list[tuple[str, int]] = []
+        # open elements: tag, node, whether inside boilerplate, number of open links
+        self.stack: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]
+        self.open: dict[str, int] = {}
         self.text: list[str] = []
-        self.linked = 0
+        self.in_links = 0
+
+    def child(self, node: int, tag: str, label: str) -> int:
+        found = self.children.get((node, label))
+        if found is None:
+            found = self.children[node, label] = len(self.parent)
+            self.parent.append(node)
+            self.tag.append(tag)
+            strong = self.strong[node]
+            self.strong.append(found if strong < 0 and tag in STRONG else strong)
+            for column in (self.chars, self.marks, self.count, self.linked):
+                column.append(0)
+        return found
 
     def flush(self) -> None:
         if self.text:
             text = " ".join("".join(self.text).split())
             if text:
-                path = tuple(label for tag, label, _ in self.stack if tag not in INLINE)
-                self.blocks.append((text, path, any(x for _, _, x in self.stack), self.linked))
-            self.text, self.linked = [], 0
+                node = self.stack[-1][1]
+                self.blocks.append((text, node))
+                self.chars[node] += len(text)
+                self.marks[node] += len(PUNCTUATION.findall(text))
+                self.count[node] += 1
+                self.linked[node] += min(self.in_links, len(text))
+            self.text, self.in_links = [], 0
 
     def words(self, piece: str) -> None:
+        _, _, out, links = self.stack[-1]
+        if out:
+            return
         if "&" in piece:
             piece = entities.unescape(piece)
         self.text.append(piece)
-        if any(tag == "a" for tag, _, _ in self.stack):
-            self.linked += len(piece.strip())
+        if links:
+            self.in_links += len(piece.strip())
+
+    def pop_to(self, size: int) -> None:
+        while len(self.stack) > size:
+            self.open[self.stack.pop()[0]] -= 1
 
     def close(self, kinds: tuple[str, ...]) -> None:
         """End the innermost open element of these kinds, if no scope lies between."""
-        for i in range(len(self.stack) - 1, -1, -1):
+        if not any(self.open.get(k) for k in kinds):
+            return
+        for i in range(len(self.stack) - 1, 0, -1):
             tag = self.stack[i][0]
             if tag in kinds:
-                del self.stack[i:]
+                self.pop_to(i)
                 return
             if tag in SCOPES:
                 return
 
     def start(self, tag: str, attrs: str) -> None:
-        label, out = tag, tag in BOILERPLATE
+        label, out = tag, self.hints and tag in BOILERPLATE
         if "=" in attrs:
             for m in CLASSES.finditer(attrs):
                 value = (m["a"] or m["b"] or m["c"] or "").lower()
                 if m["name"].lower() == "class" and value.split():
                     label = f"{tag}.{value.split()[0]}"
-                if not out:
+                if self.hints and not out:
                     out = _hinted(tag, value)
         if tag not in INLINE:
             if tag not in VOID:
@@ -118,18 +169,23 @@ class _Page:
             if tag in CLOSES:
                 self.close(CLOSES[tag])
         if tag not in VOID and not attrs.rstrip().endswith("/"):
-            self.stack.append((tag, label, out))
+            _, node, inside, links = self.stack[-1]
+            if tag not in INLINE:
+                node = self.child(node, tag, label)
+            self.stack.append((tag, node, inside or out, links + (tag == "a")))
+            self.open[tag] = self.open.get(tag, 0) + 1
 
     def end(self, tag: str) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                del self.stack[i:]
-                return
+        if self.open.get(tag):
+            i = len(self.stack) - 1
+            while self.stack[i][0] != tag:
+                i -= 1
+            self.pop_to(i)
 
 
-def blocks(html: str) -> list[tuple[str, tuple[str, ...], bool, int]]:
-    """Text blocks in page order: text (references decoded, white space collapsed), path, boilerplate, linked characters."""
-    page, at = _Page(), 0
+def parse(html: str, hints: bool = True) -> Page:
+    """Text blocks in page order (references decoded, white space collapsed, boilerplate left out) and their paths."""
+    page, at = Page(hints), 0
     for m in TOKEN.finditer(html):
         if m.start() > at:
             page.words(html[at : m.start()])
@@ -147,67 +203,79 @@ def blocks(html: str) -> list[tuple[str, tuple[str, ...], bool, int]]:
     if at < len(html):
         page.words(html[at:])
     page.flush()
-    return page.blocks
-
-
-def _alike(p: tuple[str, ...], q: tuple[str, ...]) -> float:
-    same = 0
-    for x, y in zip(p, q, strict=False):
-        if x != y:
-            break
-        same += 1
-    return (1 + same) / (1 + max(len(p), len(q)))
-
-
-def path_scores(found: list[tuple[str, tuple[str, ...], bool, int]], sharpness: int = 8, container_share: float = 0.5) -> dict[tuple[str, ...], float]:
-    """Fused ratio of every content-like path of a page."""
-    totals: dict[tuple[str, ...], list[float]] = {}
-    for text, path, out, linked in found:
-        if not out:
-            t = totals.setdefault(path, [0, 0, 0, 0])
-            t[0] += len(text)
-            t[1] += len(PUNCTUATION.findall(text))
-            t[2] += 1
-            t[3] += min(linked, len(text))
-    ratios = {p: t[0] / t[2] * (1 + t[1] / t[2]) * (1 - 0.9 * t[3] / t[0]) for p, t in totals.items()}
-    smooth = {}
-    for p in ratios:
-        weights = [(_alike(p, q) ** sharpness * totals[q][2], r) for q, r in ratios.items()]
-        smooth[p] = sum(w * r for w, r in weights) / sum(w for w, _ in weights)
-    container: dict[tuple[str, ...], float] = {}
-    home = {}
-    for p in smooth:
-        strong = [i for i, label in enumerate(p) if label.split(".")[0] in STRONG]
-        home[p] = p[: strong[0] + 1] if strong else p[:-1]
-        container[home[p]] = max(container.get(home[p], 0.0), smooth[p])
-    # What an element bears is its own text and that of blocks directly in it which are no containers themselves.
-    bears: dict[tuple[str, ...], float] = dict(smooth)
-    for p in smooth:
-        if p and p[-1].split(".")[0] not in SCOPES:
-            bears[p[:-1]] = max(bears.get(p[:-1], 0.0), smooth[p])
-    weight = {p: 1e6 if home[p] and home[p][-1].split(".")[0] in STRONG else 1.0 for p in smooth}
-    support = {}
-    for p, t in totals.items():
-        above = max((bears.get(p[:k], 0.0) for k in range(len(p))), default=0.0) if weight[p] == 1.0 else 0.0
-        support[p] = max(container[home[p]], (1 - 0.9 * t[3] / t[0]) * above)
-    return {p: weight[p] * max(smooth[p], container_share * support[p]) for p in smooth}
-
-
-def main_blocks(html: str | None, least_share: float = 0.4) -> list[str]:
-    """Texts of the content blocks of a page, in page order."""
-    found = blocks(html or "")
-    scores = path_scores(found)
-    if not scores:
-        return []
-    least = least_share * max(scores.values())
-    return [text for text, path, out, _ in found if not out and scores[path] >= least]
-
-
-def extract(pages: DataFrame, html_col: str = "html", least_share: float = 0.4) -> DataFrame:
-    """``pages`` with ``text`` (main text; blocks joined by one blank) and ``n_blocks`` in place of the html column."""
-    keep = [c for c in pages.columns if c not in (html_col, "text", "n_blocks")]
-    narrow = pages.select(*keep, F.col(html_col).cast("string").alias(html_col))
-    schema = T.StructType([*[narrow.schema[c] for c in keep], T.StructField("text", T.StringType()), T.StructField("n_blocks", T.IntegerType())])
+    return page
+
+
+def ratios(page: Page) -> list[float]:
+    """Ratio of every path with text: characters and punctuation per block, less the share of linked text."""
+    out = [0.0] * len(page.parent)
+    for p, n in enumerate(page.count):
+        if n:
+            out[p] = page.chars[p] / n * (1 + page.marks[p] / n) * (1 - 0.9 * page.linked[p] / page.chars[p])
+    return out
+
+
+def smoothed(page: Page, ratio: list[float], decay: float = DECAY) -> list[float]:
+    """Ratios averaged over all paths of the page that have text, by how long a prefix they share.
+
+    A path q counts for p with the sum of ``decay ** (len(p) - j)`` over the
+    lengths j of their common prefixes.  Sums go up the prefix tree
+    once and, decaying, down again: linear, whatever the number of paths.
+    """
+    n = len(ratio)
+    weight = [1.0 if c else 0.0 for c in page.count]
+    total = [r * w for r, w in zip(ratio, weight, strict=True)]
+    for p in range(n - 1, 0, -1):  # children come after their parents
+        total[page.parent[p]] += total[p]
+        weight[page.parent[p]] += weight[p]
+    for p in range(1, n):
+        total[p] += decay * total[page.parent[p]]
+        weight[p] += decay * weight[page.parent[p]]
+    return [t / w if w else 0.0 for t, w in zip(total, weight, strict=True)]
+
+
+def path_scores(page: Page, container_share: float = 0.7, prior: float = PRIOR, ratio: list[float] | None = None) -> list[float]:
+    """Fused ratio of every path that has text (others: 0)."""
+    smooth = smoothed(page, ratios(page) if ratio is None else ratio)
+    n, texts = len(smooth), [p for p, c in enumerate(page.count) if c]
+    home = [page.strong[p] if page.strong[p] >= 0 else max(page.parent[p], 0) for p in range(n)]
+    container, bears = [0.0] * n, [0.0] * n
+    for p in texts:
+        container[home[p]] = max(container[home[p]], smooth[p])
+        # what an element bears is its own text and that of blocks directly in it which are no containers themselves
+        bears[p] = max(bears[p], smooth[p])
+        if p and page.tag[p] not in SCOPES:
+            bears[page.parent[p]] = max(bears[page.parent[p]], smooth[p])
+    above = [0.0] * n
+    for p in range(1, n):
+        above[p] = max(above[page.parent[p]], bears[page.parent[p]])
+    out = [0.0] * n
+    for p in texts:
+        # lists of links get no support from the text around them; a heading may be a link
+        own = 1.0 if page.tag[p] in HEADINGS else 1 - 0.9 * page.linked[p] / page.chars[p]
+        support = own * max(container[home[p]], above[p])
+        out[p] = (prior if page.strong[p] >= 0 else 1.0) * max(smooth[p], container_share * support)
+    return out
+
+
+def main_blocks(html: str | None, least_share: float = 0.6, hints: bool = True, prior: float = PRIOR) -> list[str]:
+    """Texts of the content blocks of a page, in page order; without ``hints`` and with ``prior`` 1 the ratios alone decide."""
+    page = parse(html or "", hints)
+    scores = path_scores(page, prior=prior)
+    least = least_share * max(scores)
+    return [text for text, p in page.blocks if scores[p] >= least]
+
+
+def extract(pages: DataFrame, html_col: str = "html", least_share: float = 0.6) -> DataFrame:
+    """``pages`` without the html column and with ``text`` (main text; blocks joined by one blank) and ``n_blocks``.
+
+    Where ``pages`` has a column of such a name, ours gets underscores behind it.
+    """
+    keep = [c for c in pages.columns if c != html_col]
+    others = pages.drop(html_col)
+    names = [free_name(others, "text"), free_name(others, "n_blocks")]
+    narrow = pages.select(*[pages[f"`{c}`"] for c in keep], F.col(html_col).cast("string").alias(html_col))
+    schema = T.StructType([*narrow.schema.fields[:-1], T.StructField(names[0], T.StringType()), T.StructField(names[1], T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,4 +288,4 @@ def extract(pages: DataFrame, html_col: str = "html", least_share: float = 0.4)
                     counts.append(len(found))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.string()), pa.array(counts, pa.int32())], names=schema.names)
 
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(tidy(run), schema)
