@@ -525,18 +525,49 @@ def test_html_class_names():
 
 def test_url_rules_and_trees(spark):
     rules = [("https://a.com/en/1", "block", "com/en/"), ("http://Example.COM/en/7x?q", "allow", "example.com/en/7"), ("http://x.net/de/1", "allow", "net/de/"), ("http://example.net/de/80#f", "block", "example.net/de/8"), ("http://m.example.net/de/9", "allow", "net/de/"), ("http://o.org/es/", "block", "org/es/"), ("http://notcom/en/1", None, None), ("no scheme", None, None), (None, None, None), ("http://h?x=/en/", None, None), ("://com/en/", "block", "com/en/")]
-    df = spark.createDataFrame([(i, u) for i, (u, _, _) in enumerate(rules)], "page_id int, url string").withColumn("host", F.lit("clash"))
-    got = {r["page_id"]: r for r in urls.judge(df.drop("host")).collect()}
+    df = spark.createDataFrame([(i, u) for i, (u, _, _) in enumerate(rules)], "page_id int, url string").withColumns({"host": F.lit("clash"), "depth": F.lit(3.5), "verdict": F.lit("mine"), "rule_verdict": F.lit("block"), "times": F.lit(1)})
+    found = urls.judge(df).collect()
+    assert all((r["host"], r["depth"], r["verdict"], r["rule_verdict"], r["times"]) == ("clash", 3.5, "mine", "block", 1) for r in found)
+    got = {r["page_id"]: {"rule": r["rule"], "verdict": r["verdict_"], "host": r["host_"], "path": r["path"]} for r in found}
     for i, (_, verdict, rule) in enumerate(rules):
         assert got[i]["rule"] == rule and got[i]["verdict"] in ("allow", "block") and (verdict is None or got[i]["verdict"] == verdict)
     assert (got[1]["host"], got[1]["path"]) == ("example.com", "/en/7x") and (got[7]["host"], got[8]["path"], got[9]["path"]) == ("", "", "")
-    assert urls.judge(df.drop("host").limit(0)).count() == 0
+    assert urls.judge(df.limit(0)).count() == 0
     many = spark.range(1200).select(F.col("id").alias("page_id"), F.when(F.col("id") % 2 == 0, F.concat(F.lit("http://a.com/en/"), "id")).otherwise(F.concat(F.lit("http://b.net/de/"), "id")).alias("url"))
     fresh = spark.createDataFrame([(9001, "http://zz.com/fr/4"), (9002, "http://zz.net/fr/4")], "page_id long, url string")
     out = {r["page_id"]: r["verdict"] for r in urls.judge(many.unionByName(fresh)).where("page_id > 9000").collect()}
     assert out == {9001: "block", 9002: "allow"}
 
 
+def test_url_sample_is_of_different_urls(spark):
+    df = spark.createDataFrame([("http://hot.com/en/1", "block")] * 900 + [(f"http://a{i}.net/de/{i}", "allow") for i in range(300)], "url string, rule_verdict string")
+    rows = urls.sample(df, 301, 100).collect()
+    assert len(rows) == 100 == len({r["url"] for r in rows}) and all(r["times"] == (900 if "hot" in r["url"] else 1) for r in rows)
+    many = spark.range(40_000).select(F.concat(F.lit("http://x.net/de/"), "id").alias("url"), F.lit("allow").alias("rule_verdict"))
+    some = urls.sample(many, 40_000, 1000)
+    assert some.count() == 1000
+
+
+def test_toxicity_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(i, f"text {i} " * (1 + i % 7)) for i in range(3000)] + [(5, "a second text"), (6, None), (7, "long " * 40_000), (None, "x")], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    got = toxicity.sample(docs, labels, 400, 1 << 20, "doc_id", "text", "toxic").collect()
+    assert len(got) == 400 and all(len(r["text"]) <= 1 << 14 for r in got)
+    few = toxicity.sample(docs, labels, 5000, 2000, "doc_id", "text", "toxic").collect()
+    assert 0 < sum(len(r["text"]) for r in few) <= 2000
+    everything = toxicity.sample(docs, labels, 5000, 1 << 30, "doc_id", "text", "toxic").collect()
+    assert len(everything) == 3000
+
+
+def test_subwords_do_not_depend_on_neighbours():
+    words = [b"hello", b"", b"!!", b"a", "ünïcode".encode(), b"(word)", b"x" * 300, b"\xff\xfe"]
+    owner, bucket = toxicity.subwords(words, 1 << 16)
+    for i, w in enumerate(words):
+        alone = toxicity.subwords([w], 1 << 16)[1]
+        assert (bucket[owner == i] == alone).all() and len(alone) == max(1, sum(max(0, len(w.strip(toxicity.TRIM).decode("utf-8", "replace")) + 3 - k) for k in range(3, 7)))
+    assert (np.diff(owner) >= 0).all()
+
+
 @pytest.mark.parametrize("broadcast", [100_000, 10])
 def test_url_trees_know_the_suffixes_of_all_hosts(spark, monkeypatch, broadcast):
     monkeypatch.setattr(urls, "BROADCAST_SUFFIXES", broadcast)

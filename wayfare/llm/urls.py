@@ -5,18 +5,22 @@ character entropy, parameter counts and statistics of the host's suffixes
 (last one, two and three labels: how often labelled urls with that suffix are
 blocked).  The labelled urls are those that a rule decides.  The statistics
 are a table of all their suffixes, joined to the urls (broadcast while it is
-small).  The trees are fitted on a bounded sample of the labelled urls
-(``max_rows``, smallest hashes first) and compiled into one ``CASE WHEN`` sum,
-so that judging is a scan, the join and a projection in generated code.
+small).  The trees are fitted on a bounded sample of the different labelled
+urls (``max_rows``, smallest hashes first, weighted by their number of rows)
+and compiled into one ``CASE WHEN`` sum, so that judging is a scan, the join
+and a projection in generated code.
 
 Edge cases: a null url or one without ``://`` has empty host and path, no rule
-fits it and the trees judge it; repeated rows are judged one by one; an empty
-table gives an empty result; without labelled urls, or with labels of one kind
-only, the trees are a constant; extra columns pass through.
+fits it and the trees judge it; of rules of one length the first by name wins;
+very long urls are read whole; repeated rows are judged one by one and weigh by
+their number; an empty table gives an empty result; without labelled urls, or
+with labels of one kind only, the trees are a constant; extra columns pass
+through, also those with the names of our own.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -24,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER, Scratch
+from .common import UPPER, Scratch, free_name
 
 #: (verdict, host, path prefix): the rules of the default filter.
 DEFAULT_RULES = (
@@ -150,38 +154,62 @@ def _predict(node, x: np.ndarray, names: Sequence[str]) -> np.ndarray:
     return np.where(low, _predict(node[2], x, names), _predict(node[3], x, names))
 
 
-def fit(labelled: DataFrame, rated, max_rows: int = 8192, trees: int = 20, depth: int = 3, rate: float = 0.3) -> Model:
-    """Boosted trees for ``rule_verdict`` = block on at most ``max_rows`` labelled urls; ``rated`` adds the suffix statistics."""
-    order = F.xxhash64("url"), F.col("url")
-    chosen = labelled.where(F.col("rule_verdict").isNotNull()).orderBy(*order).limit(max_rows)
-    rows = rated(chosen).orderBy(*order).select(*NUMERIC, *[f"{k}_rate" for k in SUFFIXES], (F.col("rule_verdict") == "block").cast("int").alias("y")).collect()
+def sample(labelled: DataFrame, distinct_urls: int, max_rows: int) -> DataFrame:
+    """At most ``max_rows`` different labelled urls, those with the smallest hashes, each with the number of its rows as ``times``.
+
+    The hash threshold comes from the (estimated) number of different urls, so
+    that only about the rows that are wanted are grouped and sorted.
+    """
+    part = F.pmod(F.xxhash64("url"), F.lit(1 << 30))
+    below = 1 << 30 if distinct_urls <= 2 * max_rows else math.ceil((1 << 30) * 1.5 * max_rows / distinct_urls)
+    few = labelled.where(F.col("rule_verdict").isNotNull()).withColumn("__part", part).where(F.col("__part") < below)
+    times = few.groupBy("__part", "url").agg(F.count(F.lit(1)).alias("times"), F.min("rule_verdict").alias("rule_verdict"))
+    return times.orderBy("__part", "url").limit(max_rows)
+
+
+def fit(chosen: DataFrame, trees: int = 20, depth: int = 3, rate: float = 0.3) -> Model:
+    """Boosted trees for ``rule_verdict`` = block on chosen urls with features, rates and ``times`` (their weight)."""
+    names = [*NUMERIC, *(f"{k}_rate" for k in SUFFIXES)]
+    rows = chosen.orderBy(F.xxhash64("url"), "url").select(*names, "times", (F.col("rule_verdict") == "block").cast("int").alias("y")).collect()
     y = np.array([r["y"] for r in rows], dtype=float)
     if not len(y) or y.min() == y.max():
         return Model(prior=0.0 if not len(y) else (4.0 if y[0] else -4.0))
-    model = Model(prior=float(np.log(y.mean() / (1 - y.mean()))))
-    names = [*NUMERIC, *(f"{k}_rate" for k in SUFFIXES)]
+    weight = np.array([r["times"] for r in rows], dtype=float)
+    weight /= weight.mean()
+    share = float((y * weight).sum() / weight.sum())
+    model = Model(prior=float(np.log(share / (1 - share))))
     x, margin = np.array([[r[k] for k in names] for r in rows], dtype=float), np.full(len(y), model.prior)
     cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, 17)[1:-1])) for j in range(x.shape[1])]
     for _ in range(trees):
         p = 1 / (1 + np.exp(-margin))
-        tree = _grow(x, names, cuts, p - y, p * (1 - p), depth, rate)
+        tree = _grow(x, names, cuts, weight * (p - y), weight * p * (1 - p), depth, rate)
         model.trees.append(tree)
         margin = margin + _predict(tree, x, names)
     return model
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = DEFAULT_RULES, column: str = "url", **params) -> DataFrame:
-    """``pages`` with host, path, rule, ``block_margin`` of the trees and verdict (the rule's, else the trees')."""
-    ruled = apply_rules(parse(pages, column), rules)
-    featured = with_features(ruled, column)
-    by_url = featured if column == "url" else featured.withColumn("url", F.col(column))
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = DEFAULT_RULES, column: str = "url", max_rows: int = 8192, **params) -> DataFrame:
+    """``pages`` with host, path, rule, ``block_margin`` of the trees and verdict (the rule's, else the trees').
+
+    Rows of ``pages`` travel as one struct, so columns of any name come back
+    untouched; where one has the name of ours, ours gets underscores behind it.
+    """
+    work = pages.select(F.struct(*[pages[f"`{c}`"] for c in pages.columns]).alias("__row"), F.col(column).cast("string").alias("url"))
+    ruled = apply_rules(parse(work), rules)
+    featured = with_features(ruled)
     counts = Scratch(pages.sparkSession, "urls").put(suffix_counts(featured), "suffixes")
-    sizes = {r["level"]: r for r in counts.groupBy("level").agg(F.count(F.lit(1)).alias("k"), F.sum(F.length("suffix")).alias("chars"), F.sum("blocked").alias("blocked"), F.sum("n").alias("n")).collect()}
+    sizes = {
+        r["level"]: r
+        for r in counts.groupBy("level").agg(F.count(F.lit(1)).alias("k"), F.sum(F.length("suffix")).alias("chars"), F.sum("blocked").alias("blocked"), F.sum("n").alias("n")).collect()
+    }
     one = sizes.get(SUFFIXES[0])
     base = one["blocked"] / one["n"] if one else 0.5
     small = {k: r["k"] <= BROADCAST_SUFFIXES and r["chars"] <= BROADCAST_CHARS for k, r in sizes.items()}
-    rated = lambda df: with_rates(df, counts, base, small)
-    model = fit(by_url, rated, **params)
-    scored = rated(featured).withColumn("block_margin", model.margin())
+    labelled = ruled.select("url", "rule_verdict")
+    different = labelled.where(F.col("rule_verdict").isNotNull()).agg(F.approx_count_distinct("url")).first()[0] if one else 0
+    chosen = with_features(parse(sample(labelled, different, max_rows)))
+    model = fit(with_rates(chosen, counts, base, small), **params)
+    scored = with_rates(featured, counts, base, small).withColumn("block_margin", model.margin())
     verdict = F.coalesce("rule_verdict", F.when(F.col("block_margin") > 0, "block").otherwise("allow"))
-    return scored.withColumn("verdict", verdict).select(*pages.columns, "host", "path", "rule", "block_margin", "verdict")
+    scored = scored.withColumn("verdict", verdict)
+    return scored.select("__row.*", *[F.col(c).alias(free_name(pages, c)) for c in ("host", "path", "rule", "block_margin", "verdict")])
