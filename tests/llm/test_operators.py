@@ -317,15 +317,15 @@ def test_loser_tree_keeps_prefixes():
         assert lcp == [0, *map(same, merged, merged[1:])][: len(merged)]
 
 
-@pytest.mark.parametrize("page_rows", [8, 256])
-def test_top_k_against_brute_force(spark, page_rows):
+@pytest.mark.parametrize(("page_rows", "regions"), [(8, 3), (64, 1024)])
+def test_top_k_against_brute_force(spark, page_rows, regions):
     rng = np.random.default_rng(3)
     v = rng.normal(size=(700, 12)).astype(float)
     v[100:160] = v[100]
     rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)] + [(5000, None), (5050, [1.0, None]), (5100, [float("nan")] * 12), (5150, [float("inf")] * 12), (5200, []), (50, [float(x) for x in v[50]])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(1))
     got = collections.defaultdict(list)
-    for r in metric_tree.search(df, lambda i: i % 50 == 0, tree_rows=200, block_rows=6, page_rows=page_rows).orderBy("query_id", "rank").collect():
+    for r in metric_tree.search(df, lambda i: i % 50 == 0, tree_rows=40, block_rows=6, page_rows=page_rows, max_regions=regions).orderBy("query_id", "rank").collect():
         got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
     z = np.floor(256 * v).astype(np.int64)
     z, ids = np.vstack((z, np.zeros(12, np.int64))), [*range(700), 5200]

@@ -117,7 +117,7 @@ class Margins(dict):
         return [np.fromiter(map(self.__getitem__, t), np.float32, len(t)) for t in texts]
 
 
-def train(texts: list[str | None], labels: list[int], buckets: int = 1 << 16, dim: int = 8, width: int = 5, epochs: tuple[int, int] = (60, 140), rate: float = 0.05, decay: float = 1e-4, seed: int = 7) -> Model:
+def train(texts: list[str | None], labels: list[int], buckets: int = 1 << 16, dim: int = 8, width: int = 5, epochs: tuple[int, int] = (60, 140), rate: float = 0.05, decay: float = 1e-2, seed: int = 7) -> Model:
     """Joint training of subword vectors and softmax by Adam on full batches."""
     y = np.array(labels, dtype=float)
     if not len(y) or y.min() == y.max():
