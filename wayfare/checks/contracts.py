@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from wayfare.checks import judge as judging
 from wayfare.checks import lint, primitives
-from wayfare.checks.primitives import Result, equal, verdict
+from wayfare.checks.primitives import Result, record
 from wayfare.functions import geo, names
 from wayfare.operators import joins, network, places, sequences
 
@@ -85,11 +85,16 @@ def run(stage: str, ctx: Context) -> list[Result]:
 
 
 def _expected(ctx: Context, cid: str, observed, cls: str = "CONTRACT", **more) -> Result | None:
-    return equal(cid, cls, observed, ctx.expect[cid], **more) if cid in ctx.expect else None
+    return record(cid, cls, observed, ctx.expect[cid], **more) if cid in ctx.expect else None
 
 
 def _zero(cid: str, n, cls: str = "CONTRACT", **more) -> Result:
-    return verdict(cid, cls, n == 0, n, 0, **more)
+    return record(cid, cls, n, 0, n == 0, **more)
+
+
+def _adds_up(cid: str, parts: dict[str, int], total: int) -> Result:
+    """Parts that together are the whole: which of them leaks is read off the parts."""
+    return record(cid, "CONTRACT", parts, {"total": total}, sum(parts.values()) == total)
 
 
 def _count(df: DataFrame) -> int:
@@ -107,12 +112,12 @@ def _one(df: DataFrame, *columns) -> tuple:
 def _(c, cid):
     """Raw inputs have the hashes that were audited."""
     want, have = c.expect.get("raw_hashes"), c.meta.get("raw_hashes")
-    return None if not want else verdict(cid, "CONTRACT", all((have or {}).get(k) == v for k, v in want.items()), have, want)
+    return None if not want else record(cid, "CONTRACT", have, want, all((have or {}).get(k) == v for k, v in want.items()))
 
 
 @check("S00", "planned", "001")
 def _(c, cid):
-    return verdict(cid, "CONTRACT", not any(x.startswith("﻿") for t in c.tables.values() for x in t.columns), "column names", "no byte order mark")
+    return record(cid, "CONTRACT", "column names", "no byte order mark", not any(x.startswith("﻿") for t in c.tables.values() for x in t.columns))
 
 
 @check("S00", "planned", "002")
@@ -122,7 +127,7 @@ def _(c, cid):
 
 @check("S00", "planned", "003")
 def _(c, cid):
-    return primitives.unique_key(cid, "CONTRACT", c["stop_times"], ["trip_id", "seq"])
+    return primitives.clean(cid, "CONTRACT", primitives.repeated_rows(c["stop_times"], ["trip_id", "seq"]))
 
 
 @check("S00", "planned", "004")
@@ -142,7 +147,8 @@ def _(c, cid):
 def _(c, cid):
     from wayfare.sources import loaders
 
-    n = sum(primitives.not_matching(c["stop_times"], k, p).first()[0] for k, p in (("pattern_id", loaders.ROUTE_ID), ("stop_id", loaders.STOP_ID)))
+    wrong = {k: F.count_if(primitives.not_like(k, p)) for k, p in (("pattern_id", loaders.ROUTE_ID), ("stop_id", loaders.STOP_ID))}
+    n = sum(primitives.gauges(c["stop_times"], **wrong).values())
     return _zero(cid, n)
 
 
@@ -158,7 +164,7 @@ def _times(c) -> dict:
 def _(c, cid):
     g = _times(c)
     g.pop("long_dwell")
-    return verdict(cid, "CONTRACT", not any(g.values()), g, dict.fromkeys(g, 0))
+    return record(cid, "CONTRACT", g, dict.fromkeys(g, 0), not any(g.values()))
 
 
 @check("S00", "planned", "008")
@@ -182,12 +188,12 @@ def _(c, cid):
 
 @check("S00", "planned", "011")
 def _(c, cid):
-    return primitives.subset(cid, "CONTRACT", c["stop_times"], "stop_id", c["stops"], "stop_id")
+    return primitives.clean(cid, "CONTRACT", primitives.dangling_values(c["stop_times"], "stop_id", c["stops"], "stop_id"))
 
 
 @check("S00", "planned", "012")
 def _(c, cid):
-    return primitives.unique_key(cid, "CONTRACT", c["stops"], ["stop_id"])
+    return primitives.clean(cid, "CONTRACT", primitives.repeated_rows(c["stops"], ["stop_id"]))
 
 
 @check("S00", "planned", "013")
@@ -195,7 +201,7 @@ def _(c, cid):
     alias, far = _one(c["join_resolved"], F.count_if("via_alias"), F.max("dist_m"))
     fails, limit = _count(c["join_failures"]), c.params["resolve"]["max_dist_m"]
     want = c.expect.get(cid, {"alias": alias})
-    return verdict(cid, "CONTRACT", fails == 0 and alias == want["alias"] and (far or 0) <= limit, {"alias": alias, "failures": fails, "max_m": far}, {**want, "failures": 0, "max_m": limit}, positive_control="alias" in c.expect.get(cid, {}))
+    return record(cid, "CONTRACT", {"alias": alias, "failures": fails, "max_m": far}, {**want, "failures": 0, "max_m": limit}, fails == 0 and alias == want["alias"] and (far or 0) <= limit, positive_control="alias" in c.expect.get(cid, {}))
 
 
 @check("S00", "planned", "014")
@@ -217,7 +223,7 @@ def _cells(c) -> DataFrame:
 def _(c, cid):
     g = {r["status"]: r["count"] for r in _cells(c).groupBy("status").count().collect()}
     off = sum(v for k, v in g.items() if k != "equal")
-    return equal(cid, "CONTRACT", off, c.expect.get(cid, 0), note=str(g))
+    return record(cid, "CONTRACT", off, c.expect.get(cid, 0), note=str(g))
 
 
 @check("S00", "planned", "016")
@@ -269,7 +275,7 @@ def _(c, cid):
 
 @check("S00", "actual", "002")
 def _(c, cid):
-    return equal(cid, "CONTRACT", _one(c["events"], F.countDistinct("service_date"))[0], 1)
+    return record(cid, "CONTRACT", _one(c["events"], F.countDistinct("service_date"))[0], 1)
 
 
 @check("S00", "actual", "003")
@@ -280,7 +286,7 @@ def _(c, cid):
 @check("S00", "actual", "004")
 def _(c, cid):
     n, bad = _one(c["events"], F.count_if("dep_is_sentinel"), F.count_if(F.col("dep_is_sentinel") & F.col("dep_s").isNotNull()))
-    return verdict(cid, "CONTRACT", bad == 0 and n == c.expect.get(cid, n), {"sentinels": n, "with_time": bad}, {"sentinels": c.expect.get(cid, n), "with_time": 0}, positive_control=cid in c.expect)
+    return record(cid, "CONTRACT", {"sentinels": n, "with_time": bad}, {"sentinels": c.expect.get(cid, n), "with_time": 0}, bad == 0 and n == c.expect.get(cid, n), positive_control=cid in c.expect)
 
 
 @check("S00", "actual", "005")
@@ -297,7 +303,7 @@ def _(c, cid):
 
 @check("S00", "actual", "007")
 def _(c, cid):
-    return primitives.unique_key(cid, "CONTRACT", c["events"], ["obe_id", "pattern_id", "master_seq", "arr_ts"])
+    return primitives.clean(cid, "CONTRACT", primitives.repeated_rows(c["events"], ["obe_id", "pattern_id", "master_seq", "arr_ts"]))
 
 
 @check("S00", "actual", "008")
@@ -305,7 +311,7 @@ def _(c, cid):
     a = _count(primitives.dangling_values(c["events"], "stop_id", c["stops"], "stop_id"))
     b = _count(primitives.dangling_values(c["route_agg"], "stop_id", c["stops"], "stop_id"))
     unused = _count(primitives.dangling_values(c["stops"], "stop_id", c["events"], "stop_id"))
-    return verdict(cid, "CONTRACT", a + b == 0 and unused == c.expect.get(cid, unused), {"lost": a + b, "unused": unused}, {"lost": 0})
+    return record(cid, "CONTRACT", {"lost": a + b, "unused": unused}, {"lost": 0}, a + b == 0 and unused == c.expect.get(cid, unused))
 
 
 @check("S00", "actual", "009")
@@ -320,7 +326,7 @@ def _(c, cid):
     ev = c["events"].groupBy("pattern_id", "stop_id").agg(F.count(F.lit(1)).alias("n"))
     ag = c["route_agg"].groupBy("pattern_id", "stop_id").agg(F.sum("도착횟수").alias("n"))
     off = _count(joins.reconcile(ev, ag, ["pattern_id", "stop_id"], F.col("n"), F.col("n")).where("status <> 'equal'"))
-    return equal(cid, "CONTRACT", off, c.expect.get(cid, 0))
+    return record(cid, "CONTRACT", off, c.expect.get(cid, 0))
 
 
 @check("S00", "actual", "011")
@@ -352,7 +358,7 @@ def _(c, cid):
     own = F.col("base_pattern_id_raw") == F.col("pattern_id")
     main, circular, left = _one(p, F.count_if((F.col("role") == "main") & own), F.count_if((F.col("role") == "circular") & own & (F.col("base_ref") == F.col("pattern_id"))), F.count_if((F.col("role") == "main") & (F.col("base_ref") == F.col("pattern_id"))))
     seen = {"main_self": main, "circular_self_kept": circular}
-    return verdict(cid, "CONTRACT", left == 0 and seen == c.expect.get(cid, seen), seen, c.expect.get(cid, seen))
+    return record(cid, "CONTRACT", seen, c.expect.get(cid, seen), left == 0 and seen == c.expect.get(cid, seen))
 
 
 @check("S01", "planned", "004")
@@ -362,19 +368,19 @@ def _(c, cid):
     by = F.col("role").isin("main", "short_turn", "branch") | ((F.col("role") == "circular") & F.col("base_pattern_id_raw").isNull())
     n = _one(p, F.count_if(by))[0]
     rows = _count(c["canonical_rows"])
-    return verdict(cid, "CONTRACT", rows == n and n == c.expect.get(cid, n), {"rows": rows, "by_roles": n}, c.expect.get(cid, n))
+    return record(cid, "CONTRACT", {"rows": rows, "by_roles": n}, c.expect.get(cid, n), rows == n and n == c.expect.get(cid, n))
 
 
 @check("S01", "planned", "005")
 def _(c, cid):
     parts = {r["disposition"]: r["count"] for r in c["pattern_disposition"].groupBy("disposition").count().collect()}
-    return primitives.accounting(cid, parts, _count(c["patterns"]))
+    return _adds_up(cid, parts, _count(c["patterns"]))
 
 
 @check("S01", "planned", "006")
 def _(c, cid):
     parts = {r["attribution"]: r["count"] for r in c["trip_attribution"].groupBy("attribution").count().collect()}
-    return primitives.accounting(cid, parts, _count(c["trips"]))
+    return _adds_up(cid, parts, _count(c["trips"]))
 
 
 @check("S01", "planned", "007")
@@ -391,14 +397,14 @@ def _(c, cid):
     g = ps.groupBy("pattern_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("stop_id").alias("k"), F.min_by("stop_id", "seq").alias("a"), F.max_by("stop_id", "seq").alias("b"))
     twice, closed = _one(g, F.count_if(F.col("n") > F.col("k")), F.count_if(F.col("a") == F.col("b")))
     seen = {"with_repeats": twice, "closed": closed}
-    return verdict(cid, "CONTRACT", lost == 0 and seen == c.expect.get(cid, seen), {**seen, "lost": lost}, c.expect.get(cid, seen), positive_control=cid in c.expect)
+    return record(cid, "CONTRACT", {**seen, "lost": lost}, c.expect.get(cid, seen), lost == 0 and seen == c.expect.get(cid, seen), positive_control=cid in c.expect)
 
 
 @check("S01", "planned", "009")
 def _(c, cid):
     d = c["duplicates"]
     bad = _count(d.where(F.size(F.split("routes", r"\|")) < 2))
-    return verdict(cid, "CONTRACT", bad == 0 and _count(d) == c.expect.get(cid, _count(d)), _count(d), c.expect.get(cid, _count(d)))
+    return record(cid, "CONTRACT", _count(d), c.expect.get(cid, _count(d)), bad == 0 and _count(d) == c.expect.get(cid, _count(d)))
 
 
 @check("S01", "planned actual", "010")
@@ -408,7 +414,7 @@ def _(c, cid):
     seen = {r["route_class"]: r["count"] for r in table.groupBy("route_class").count().collect()}
     known = {r["class"] for r in c.rules.get("rules", [])}
     want = c.expect.get(cid, seen)
-    return verdict(cid, "CONTRACT", set(seen) <= known and seen == want and primitives.repeated_rows(table, [name]).first()[0] == 0, seen, want)
+    return record(cid, "CONTRACT", seen, want, set(seen) <= known and seen == want and primitives.repeated_rows(table, [name]).first()[0] == 0)
 
 
 @check("S01", "planned", "011")
@@ -431,7 +437,7 @@ def _(c, cid):
     routes = c["patterns"].where("role <> 'support'").select("route").distinct()
     covered = _count(routes.join(c["backbone_stops"].select("route").distinct(), "route", "left_semi"))
     seen = {"covered": covered, "total": _count(routes)}
-    return verdict(cid, "PHYSICAL", seen == c.expect.get(cid, seen), seen, c.expect.get(cid, seen))
+    return record(cid, "PHYSICAL", seen, c.expect.get(cid, seen), seen == c.expect.get(cid, seen))
 
 
 @check("S01", "planned", "003", "PHYSICAL")
@@ -470,7 +476,7 @@ def _(c, cid):
     groups, trips = _count(t.select(keys).distinct()), _count(t)
     w = Window.partitionBy(*keys).orderBy("arr_ts", "master_seq")
     cuts = _one(e.select((F.col("master_seq") <= F.lag("master_seq").over(w)).alias("cut")), F.count_if("cut"))[0]
-    return primitives.accounting(cid, {"groups": groups, "boundaries": cuts}, trips)
+    return _adds_up(cid, {"groups": groups, "boundaries": cuts}, trips)
 
 
 @check("S01", "actual", "002")
@@ -485,7 +491,7 @@ def _(c, cid):
 @check("S01", "actual", "003")
 def _(c, cid):
     rate = _one(c["trips"], F.avg(F.col("is_partial").cast("int")))[0]
-    return None if cid not in c.expect else verdict(cid, "CONTRACT", abs(rate - c.expect[cid]["rate"]) <= c.expect[cid].get("tolerance", 0.02), rate, c.expect[cid], positive_control=True)
+    return None if cid not in c.expect else record(cid, "CONTRACT", rate, c.expect[cid], abs(rate - c.expect[cid]["rate"]) <= c.expect[cid].get("tolerance", 0.02), positive_control=True)
 
 
 @check("S01", "actual", "004")
@@ -494,7 +500,7 @@ def _(c, cid):
     g = c["trips"].select((F.col("start_s") - F.lag("end_s").over(w)).alias("g"))
     median = _one(g, F.percentile("g", 0.5))[0]
     low, high = c.expect.get(cid, (None, None))
-    return None if low is None else verdict(cid, "CONTRACT", low <= median <= high, median, [low, high], positive_control=True)
+    return None if low is None else record(cid, "CONTRACT", median, [low, high], low <= median <= high, positive_control=True)
 
 
 @check("S01", "actual", "005")
@@ -510,7 +516,7 @@ def _(c, cid):
     lost = _count(primitives.dangling_values(c["trips"], "pattern_id", r, "pattern_id"))
     n, nameless, trips = _one(r, F.count(F.lit(1)), F.count_if("name_unknown"), F.sum("n_trips"))
     seen = {"patterns": n, "nameless": nameless}
-    return verdict(cid, "CONTRACT", lost == 0 and trips == _count(c["trips"]) and seen == c.expect.get(cid, seen), seen, c.expect.get(cid, seen))
+    return record(cid, "CONTRACT", seen, c.expect.get(cid, seen), lost == 0 and trips == _count(c["trips"]) and seen == c.expect.get(cid, seen))
 
 
 @check("S01", "actual", "007")
@@ -518,12 +524,12 @@ def _(c, cid):
     """The stop grid is passed through unchanged."""
     from wayfare.sources import sinks
 
-    return equal(cid, "CONTRACT", sinks.table_digest(c["route_master"]), c.meta.get("route_master_digest", sinks.table_digest(c["route_master"])))
+    return record(cid, "CONTRACT", sinks.table_digest(c["route_master"]), c.meta.get("route_master_digest", sinks.table_digest(c["route_master"])))
 
 
 @check("S01", "actual", "008")
 def _(c, cid):
-    return primitives.accounting(cid, {r["route_class"]: r["count"] for r in c["route_registry"].groupBy("route_class").count().collect()}, _one(c["pattern_registry"], F.countDistinct("route_name"))[0])
+    return _adds_up(cid, {r["route_class"]: r["count"] for r in c["route_registry"].groupBy("route_class").count().collect()}, _one(c["pattern_registry"], F.countDistinct("route_name"))[0])
 
 
 @check("S01", "actual", "009")
@@ -576,7 +582,7 @@ def _(c, cid):
 def _(c, cid):
     n, merged = _count(c["override_applied"]), _count(c["places"].where("is_override_merged"))
     want = c.meta.get("n_overrides", n)
-    return verdict(cid, "CONTRACT", n == want and merged <= n and (merged > 0) == (n > 0), {"rows": n, "merged_places": merged}, {"rows": want})
+    return record(cid, "CONTRACT", {"rows": n, "merged_places": merged}, {"rows": want}, n == want and merged <= n and (merged > 0) == (n > 0))
 
 
 @check("S02", "planned actual", "006")
@@ -592,7 +598,7 @@ def _(c, cid):
     bad = _count(u.where("place_id_a >= place_id_b")) + _count(a.where((F.col("place_id_a") >= F.col("place_id_b")) | (F.col("name_a") == F.col("name_b")) | (F.col("gap_m") > limit)))
     pairs = c["places"].groupBy("name_norm").agg(F.count(F.lit(1)).alias("k")).agg(F.coalesce(F.sum(F.expr("k * (k - 1) div 2")), F.lit(0))).first()[0]
     whole = c.params["places"]["under_merge_m"] is not None or _count(u) == pairs
-    return verdict(cid, "CONTRACT", bad == 0 and whole, {"bad": bad, "pairs": _count(u)}, {"bad": 0, "pairs": pairs})
+    return record(cid, "CONTRACT", {"bad": bad, "pairs": _count(u)}, {"bad": 0, "pairs": pairs}, bad == 0 and whole)
 
 
 @check("S02", "planned actual", "008")
@@ -671,7 +677,7 @@ def _(c, cid):
     adopted = s.where("is_adopted").collect()
     n = {r["hub_class_rule"]: r["count"] for r in c["hub_qualification"].groupBy("hub_class_rule").count().collect()}
     ok = _count(s) == want and len(adopted) == 1 and adopted[0]["n_crossing"] == n.get("CROSSING", 0) and adopted[0]["n_terminal"] == n.get("TERMINAL", 0)
-    return verdict(cid, "CONTRACT", ok, {"rows": _count(s), "adopted": len(adopted)}, {"rows": want, "adopted": 1})
+    return record(cid, "CONTRACT", {"rows": _count(s), "adopted": len(adopted)}, {"rows": want, "adopted": 1}, ok)
 
 
 @check("S03", "planned", "008")
@@ -680,17 +686,17 @@ def _(c, cid):
     bad = _count(q.where("is_override <> (override_row is not null) or (not is_override and hub_class <> hub_class_rule)"))
     n = _count(q.where("is_override"))
     want = c.meta.get("n_overrides", n)
-    return verdict(cid, "CONTRACT", bad == 0 and n == want, {"bad": bad, "applied": n}, {"bad": 0, "applied": want})
+    return record(cid, "CONTRACT", {"bad": bad, "applied": n}, {"bad": 0, "applied": want}, bad == 0 and n == want)
 
 
 @check("S03", "planned", "009")
 def _(c, cid):
-    return primitives.accounting(cid, {r["hub_class"]: r["count"] for r in c["hub_qualification"].groupBy("hub_class").count().collect()}, _count(c["places"]))
+    return _adds_up(cid, {r["hub_class"]: r["count"] for r in c["hub_qualification"].groupBy("hub_class").count().collect()}, _count(c["places"]))
 
 
 @check("S03", "planned", "010")
 def _(c, cid):
-    return primitives.accounting(cid, {r["reason"]: r["count"] for r in c["diag_lspace_gap"].groupBy("reason").count().collect()}, _count(c["place_metrics"].where("D = 0")))
+    return _adds_up(cid, {r["reason"]: r["count"] for r in c["diag_lspace_gap"].groupBy("reason").count().collect()}, _count(c["place_metrics"].where("D = 0")))
 
 
 @check("S03", "planned", "001", "PHYSICAL")

@@ -6,6 +6,7 @@ rounded to millimetres and thousandths of a degree.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1004,24 +1005,28 @@ UNION ALL SELECT 'dangling', (SELECT count(DISTINCT o_custkey) FROM orders WHERE
 UNION ALL SELECT 'functional', (SELECT count(*) FROM (SELECT n_nationkey FROM nation GROUP BY 1 HAVING count(DISTINCT n_regionkey) > 1))
 UNION ALL SELECT 'enum', (SELECT count(DISTINCT event_type) FROM events WHERE event_type NOT IN ('error', 'click', 'view', 'signup'))
 UNION ALL SELECT 'range', (SELECT count(*) FROM lineitem WHERE l_discount < 0 OR l_discount >= 0.1)
-UNION ALL SELECT 'regex', (SELECT count(*) FROM customer WHERE NOT regexp_full_match(c_name, 'Customer#\\d{9}'))""",
+UNION ALL SELECT 'large', (SELECT count(*) FROM lineitem WHERE l_quantity > 45)
+UNION ALL SELECT 'order', (SELECT count(*) FROM (SELECT l_partkey - lag(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS d FROM lineitem) WHERE d <= 0)
+UNION ALL SELECT 'functional_fail', (SELECT count(*) FROM (SELECT n_regionkey FROM nation GROUP BY 1 HAVING count(DISTINCT n_nationkey) > 1))
+UNION ALL SELECT 'regex', (SELECT count(*) FROM customer WHERE NOT regexp_full_match(c_name, 'Customer#\\d{9}'))
+UNION ALL SELECT 'regex_fail', (SELECT count(*) FROM customer WHERE NOT regexp_full_match(c_name, 'Customer#0{7}\\d{2}'))""",
 )
 def _(spark, sf):
     t = lambda n: fx.table(spark, sf, n)
-    parts = {
-        "unique_pass": primitives.repeated_rows(t("orders"), ["o_orderkey"]),
-        "unique_fail": primitives.repeated_rows(t("lineitem"), ["l_orderkey", "l_linenumber"]),
-        "dangling": primitives.dangling_values(t("orders"), "o_custkey", t("customer"), "c_custkey").agg(F.count(F.lit(1)).alias("n")),
-        "functional": primitives.dependency_violations(t("nation"), "n_nationkey", "n_regionkey"),
-        "enum": primitives.unknown_values(t("events"), "event_type", ["error", "click", "view", "signup"]).agg(F.count(F.lit(1)).alias("n")),
-        "range": primitives.out_of_range(t("lineitem"), "l_discount", 0, 0.1, right_open=True),
-        "regex": primitives.not_matching(t("customer"), "c_name", r"Customer#\d{9}"),
-    }
-    out = None
-    for name, df in parts.items():
-        row = df.select(F.lit(name).alias("id"), F.col("n").cast("long").alias("n"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    audits = (
+        primitives.Audit(t("orders")).table(
+            unique_pass=primitives.repeated_rows(t("orders"), ["o_orderkey"]),
+            dangling=primitives.dangling_values(t("orders"), "o_custkey", t("customer"), "c_custkey"),
+        ),
+        primitives.Audit(t("lineitem")).row(range=primitives.not_within("l_discount", 0, 0.1, open_end=True), large=F.col("l_quantity") > 45).table(
+            unique_fail=primitives.repeated_rows(t("lineitem"), ["l_orderkey", "l_linenumber"]),
+            order=primitives.order_violations(t("lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"], "l_partkey"),
+        ),
+        primitives.Audit(t("nation")).table(functional=primitives.dependency_violations(t("nation"), "n_nationkey", "n_regionkey"), functional_fail=primitives.dependency_violations(t("nation"), "n_regionkey", "n_nationkey")),
+        primitives.Audit(t("events")).table(enum=primitives.values(t("events"), "event_type", primitives.not_among("event_type", ["error", "click", "view", "signup"]))),
+        primitives.Audit(t("customer")).row(regex=primitives.not_like("c_name", r"Customer#\d{9}"), regex_fail=primitives.not_like("c_name", r"Customer#0{7}\d{2}")),
+    )
+    return functools.reduce(DataFrame.unionByName, [a.counts() for a in audits])
 
 
 # ---- 2.15 views beside the reference
