@@ -579,3 +579,63 @@ def test_url_trees_know_the_suffixes_of_all_hosts(spark, monkeypatch, broadcast)
     assert {(r["level"], r["suffix"]): (r["blocked"], r["n"]) for r in counts} == want
     got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.judge(df, rules).where("page_id >= 1000").collect()}
     assert got == {1000 + i: (None, w) for i, w in enumerate(what)}
+
+
+def test_scores_of_texts_equal_sequential_weighting(spark):
+    """Whole texts, through several ranges, batches and tasks, against a model that learns byte by byte."""
+    import math
+
+    depth, rng = 3, random.Random(21)
+    texts = ["".join(rng.choice(("ab", "ra", "cad", " ", "é")) for _ in range(rng.randrange(9))) for _ in range(24)] + [None, "", "abracad", "abracad"]
+    rows = [(i * 7 + 1, t) for i, t in enumerate(texts)]
+    nodes = collections.defaultdict(lambda: [0, 0])
+
+    def decisions(text):
+        context = (0,) * depth
+        for byte in (text or "").encode() + b"\0":
+            node = 1
+            for k in range(7, -1, -1):
+                bit = byte >> k & 1
+                yield node, context, bit
+                node = 2 * node + bit
+            context = (byte, *context[:-1])
+
+    for i, t in rows:
+        if not context_tree.held_out(i, 10):
+            for node, context, bit in decisions(t):
+                for d in range(depth + 1):
+                    nodes[node, context[:d]][bit] += 1
+    children = collections.defaultdict(list)
+    for node, context in list(nodes):
+        if context:
+            children[node, context[:-1]].append(context)
+    kt = lambda a, b: math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    def weighted(node, context):
+        own = kt(*nodes.get((node, context), (0, 0)))
+        if len(context) == depth:
+            return own
+        return math.log(0.5) + np.logaddexp(own, sum(weighted(node, c) for c in children[node, context]))
+
+    def chance(node, context, bit):
+        """Conditional probability of one more decision: the weighted probability with it over that without."""
+        before = weighted(node, ())
+        path = [(node, context[:d]) for d in range(depth + 1)]
+        new = [k for k in path if k not in nodes]
+        for k in path:
+            nodes[k][bit] += 1
+            if k in new and k[1]:
+                children[k[0], k[1][:-1]].append(k[1])
+        after = weighted(node, ())
+        for k in path:
+            nodes[k][bit] -= 1
+            if k in new:
+                del nodes[k]
+                if k[1]:
+                    children[k[0], k[1][:-1]].remove(k[1])
+        return after - before
+
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["score"] for r in context_tree.score(df, docs_per_range=2, batch_bytes=30, depth=depth).collect()}
+    for i, t in rows:
+        assert got[i] == pytest.approx(sum(chance(*x) for x in decisions(t)) / math.log(10), abs=1e-3), (i, t)
