@@ -37,6 +37,13 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.cluster(places.named(stops(spark, sf_dir)))
 
 
+def injured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members with faults: names whose number is a multiple of six are one place each, of the next ones odd and even stops are torn apart."""
+    n = F.substring("name_norm", 2, 20).cast("long") % 6
+    torn = F.concat("place_id", (F.col("stop_id") % 2).cast("string"))
+    return members(spark, sf_dir).withColumn("place_id", F.when(n == 0, F.col("name_norm")).when(n == 1, torn).otherwise(F.col("place_id")))
+
+
 def geometry(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return places.geometry(members(spark, sf_dir))
 
@@ -180,16 +187,17 @@ CTES = {
 }
 
 
-def sql(final: str) -> str:
-    """A query over the derived tables: those that it needs, and those that these need, come first."""
+def sql(final: str, more: dict[str, str] | None = None) -> str:
+    """A query over the derived tables and ``more`` of its own: those that it needs, and those that these need, come first."""
+    known = CTES | (more or {})
     need: set[str] = set()
     todo = [final]
     while todo:
         text = todo.pop()
-        for name in CTES:
+        for name in known:
             if name not in need and re.search(rf"\b{name}\b", text):
                 need.add(name)
-                todo.append(CTES[name])
+                todo.append(known[name])
     if not need:
         return final
-    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({CTES[n]})" for n in CTES if n in need) + "\n" + final
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({known[n]})" for n in known if n in need) + "\n" + final

@@ -26,7 +26,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, oracle: str | None = None):
+def query(name: str, oracle: str | None = None, more: dict[str, str] | None = None, shared: bool = True):
+    """Registers a query and its SQL; ``more`` are derived tables of that SQL alone, without ``shared`` it stands as it is."""
+
     def register(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = f(spark, sf_dir)
@@ -36,7 +38,7 @@ def query(name: str, oracle: str | None = None):
         run.__name__, run.__doc__ = name, f.__doc__
         QUERIES[name] = run
         if oracle is not None:
-            ORACLES[name] = sql(oracle)
+            ORACLES[name] = sql(oracle, more) if shared else oracle
         return f
 
     return register
@@ -910,16 +912,8 @@ _HERE = haversine_sql("a.lat", "a.lon", "b.lat", "b.lon")
     GROUP BY 1, 2 HAVING min({_HERE}) <= 150))""",
 )
 def _(spark, sf):
-    """Places that fall apart and places of one name that are too close, in a clustering with injected faults.
-
-    Names whose number is a multiple of six are made one place each, and of the
-    next ones odd and even stops are torn apart; all others stay as clustered.
-    """
-    m = fx.members(spark, sf)
-    n = F.substring("name_norm", 2, 20).cast("long") % 6
-    torn = F.concat("place_id", (F.col("stop_id") % 2).cast("string"))
-    m = m.withColumn("place_id", F.when(n == 0, F.col("name_norm")).when(n == 1, torn).otherwise(F.col("place_id")))
-    return places.validity(m, 150.0)
+    """Places that fall apart and places of one name that are too close, in a clustering with injected faults (:func:`fixtures.injured`)."""
+    return places.validity(fx.injured(spark, sf), 150.0)
 
 
 @query("G11_place_geometry", f"SELECT m.stop_id, m.place_id, p.n_stops, round({haversine_sql('m.lat', 'm.lon', 'p.lat_centroid', 'p.lon_centroid')}, 3) AS dist_m FROM members m JOIN places p USING (place_id)")

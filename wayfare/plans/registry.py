@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wayfare.plans import check_queries  # noqa: F401  (registers its queries)
 from wayfare.plans.queries import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
